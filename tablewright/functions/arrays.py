@@ -102,7 +102,7 @@ def contrast_normalise(arr: Column, bias: float = 10.0, use_std: bool = True, fl
     return let(mean_std(arr), scale)
 
 
-def trailing_mean_removed(arr: Column, window: int) -> Column:
+def trend_removed(arr: Column, window: int) -> Column:
     """x_i minus the mean of the last ``window`` values up to and including x_i."""
     at = lambda i: F.slice(
         arr, F.greatest(i - window + 1, F.lit(0)) + 1, F.least(i + 1, F.lit(window))

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.operators.lookup import lookup
 from tablewright.operators.ranking import column_medians, grouped_median, melt
 
 
@@ -39,7 +40,7 @@ def group_median_fill(
     """Null cells take the median of their group; a null group key leaves the cell as it is."""
     med = grouped_median(df, keys, col, "_med")
     fill = F.round("_med") if rounded else F.col("_med")
-    return df.join(med, list(keys), "left").withColumn(out or col, F.coalesce(F.col(col), fill)).drop("_med")
+    return lookup(df, med, list(keys)).withColumn(out or col, F.coalesce(F.col(col), fill)).drop("_med")
 
 
 def hierarchical_median_fill(
@@ -60,7 +61,7 @@ def hierarchical_median_fill(
             known = known & F.col(k).isNotNull()
         # a row without a group keeps its value
         filled = F.when(known, F.coalesce(F.col("_good"), F.col("_med"))).otherwise(F.col(out))
-        cur = cur.join(med, list(keys), "left").withColumn(out, filled).drop("_good", "_med")
+        cur = lookup(cur, med, list(keys)).withColumn(out, filled).drop("_good", "_med")
     overall = column_medians(cur, [out]).get(out)
     return cur.withColumn(out, F.coalesce(F.col(out), F.lit(overall)))
 

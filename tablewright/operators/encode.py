@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.operators.clean import frequent_values
+from tablewright.operators.lookup import lookup
 from tablewright.operators.ranking import positioned
+from tablewright.session import durable
 
 MAX_WIDE = 2000  # dummy columns; larger vocabularies belong in the long form
 
@@ -25,7 +27,7 @@ def target_encode(df: DataFrame, row_id: str, cols: Sequence[str], target: str,
     means = long.groupBy("feature", "value").agg(
         F.avg(F.coalesce(F.col(target).cast("double"), F.lit(prior))).alias("encoded")
     )
-    return long.drop(target).join(means, ["feature", "value"])
+    return lookup(long.drop(target), means, ["feature", "value"], "inner")
 
 
 def fit_one_hot(train: DataFrame, cols: Sequence[str], threshold: int = 0) -> DataFrame:
@@ -36,7 +38,7 @@ def fit_one_hot(train: DataFrame, cols: Sequence[str], threshold: int = 0) -> Da
 
 def one_hot_long(df: DataFrame, row_id: str, vocabulary: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(row_id, idx) of the cells that are 1; unseen categories give none."""
-    return long_categories(df, row_id, cols).join(vocabulary, ["feature", "value"]).select(row_id, "idx")
+    return lookup(long_categories(df, row_id, cols), vocabulary, ["feature", "value"], "inner").select(row_id, "idx")
 
 
 def one_hot_wide(df: DataFrame, vocabulary: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -74,9 +76,14 @@ def document_frequency(docs: DataFrame, key: str, text: str, min_df: int, stop:
 
 
 def bag_of_words(docs: DataFrame, key: str, text: str, min_df: int, stop: Sequence[str] = ()) -> DataFrame:
-    """(key, term, n) for the terms kept by document frequency."""
-    vocabulary = document_frequency(docs, key, text, min_df, stop).select("term")
-    return term_counts(docs, key, text, stop).join(vocabulary, "term", "left_semi")
+    """(key, term, n) for the terms kept by document frequency.
+
+    The texts are cut into words once: both the vocabulary and the result read
+    the written counts.
+    """
+    counts = durable(term_counts(docs, key, text, stop))
+    vocabulary = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") >= min_df)
+    return counts.join(vocabulary.select("term"), "term", "left_semi")
 
 
 def anova_f(df: DataFrame, vec: str, label: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.functions.scalar import lcg
+from tablewright.operators.lookup import lookup
 from tablewright.operators.ranking import positioned
 
 
@@ -32,7 +33,7 @@ def _within_class(df: DataFrame, row_id: str, label: str, seed: int | None) -> D
         order = [F.col(label), lcg(F.col(row_id) + seed), F.col(row_id)]
     placed = positioned(df, order, pos="_p")
     spans = placed.groupBy(label).agg(F.min("_p").alias("_lo"), F.count(F.lit(1)).alias("_n"))
-    return placed.join(spans, label).withColumn("_p", F.col("_p") - F.col("_lo")).drop("_lo")
+    return lookup(placed, spans, label, "inner").withColumn("_p", F.col("_p") - F.col("_lo")).drop("_lo")
 
 
 def stratified(df: DataFrame, row_id: str, label: str, k: int, seed: int | None = None, out: str = "fold") -> DataFrame:

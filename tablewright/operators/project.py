@@ -6,12 +6,11 @@ what reaches the driver does not grow with the rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,19 +33,11 @@ def mean_and_covariance(df: DataFrame, vec: str) -> tuple[int, np.ndarray, np.nd
     d = width_of(df, vec)
     shift = np.array(df.select(vec).first()[0], dtype="float64")
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n, s, g = 0, np.zeros(d), np.zeros((d, d))
-        for pdf in batches:
-            if len(pdf):
-                x = _stack(pdf[vec]) - shift
-                n, s, g = n + len(x), s + x.sum(0), g + x.T @ x
-        if n:
-            yield pd.DataFrame({"sums": [np.concatenate([[n], s, g.ravel()])]})
+    def fold(x: np.ndarray) -> np.ndarray:
+        x = x - shift
+        return np.concatenate([[len(x)], x.sum(0), (x.T @ x).ravel()])
 
-    cells = df.select(vec).mapInPandas(partial, "sums array<double>").select(F.posexplode("sums").alias("k", "x"))
-    total = np.zeros(1 + d + d * d)
-    for r in cells.groupBy("k").agg(F.sum("x").alias("x")).toLocalIterator():
-        total[r["k"]] = r["x"]
+    total = _partial_sums(df, vec, 1 + d + d * d, fold)
     n, s, g = total[0], total[1 : d + 1], total[d + 1 :].reshape(d, d)
     m = s / n
     return int(n), m + shift, g / n - np.outer(m, m)
@@ -107,11 +98,70 @@ def covariance_rows(df: DataFrame, vec: str) -> DataFrame:
     return df.sparkSession.createDataFrame(frame, "i int, j int, cov double")
 
 
-def nmf(cells: DataFrame, row: str, col: str, value: str, k: int, iterations: int = 5, seed: int = 1) -> tuple[DataFrame, DataFrame]:
-    """Nonnegative row and column factors of a long (row, col, value) matrix."""
-    als = ALS(
-        rank=k, maxIter=iterations, regParam=0.01, nonnegative=True, userCol=row, itemCol=col, ratingCol=value,
-        seed=seed, coldStartStrategy="drop",
-    )
-    model = als.fit(cells.select(F.col(row).cast("int").alias(row), F.col(col).cast("int").alias(col), F.col(value).cast("float").alias(value)))
-    return model.userFactors, model.itemFactors
+def _partial_sums(df: DataFrame, vec: str, size: int, fold: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """Sum over all batches of ``fold(rows)``, a flat array of fixed size."""
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        acc, seen = np.zeros(size), False
+        for pdf in batches:
+            if len(pdf):
+                acc, seen = acc + fold(_stack(pdf[vec])), True
+        if seen:
+            yield pd.DataFrame({"sums": [acc]})
+
+    cells = df.select(vec).mapInPandas(partial, "sums array<double>").select(F.posexplode("sums").alias("k", "x"))
+    total = np.zeros(size)
+    for r in cells.groupBy("k").agg(F.sum("x").alias("x")).collect():
+        total[r["k"]] = r["x"]
+    return total
+
+
+def _nonnegative_rows(x: np.ndarray, h: np.ndarray, rounds: int = 60) -> np.ndarray:
+    """Nonnegative least squares weights of rows x on the parts h, by coordinate descent."""
+    gram, proj = h @ h.T, x @ h.T
+    w = np.clip(proj / (gram.sum(1) + 1e-12), 0.0, None)
+    for _ in range(rounds):
+        for j in range(len(h)):
+            w[:, j] = np.clip(w[:, j] + (proj[:, j] - w @ gram[:, j]) / (gram[j, j] + 1e-12), 0.0, None)
+    return w
+
+
+@dataclass(frozen=True)
+class Parts:
+    """Nonnegative parts: a row is close to weights @ parts."""
+
+    parts: np.ndarray
+
+    def apply(self, df: DataFrame, vec: str, out: str | None = None) -> DataFrame:
+        h = self.parts
+
+        @F.pandas_udf("array<double>")
+        def run(col: pd.Series) -> pd.Series:
+            return pd.Series(list(_nonnegative_rows(_stack(col), h)) if len(col) else [], dtype=object)
+
+        return df.withColumn(out or vec, run(F.col(vec)))
+
+
+def fit_nmf(train: DataFrame, vec: str, k: int, iterations: int = 10, seed: int = 1) -> Parts:
+    """Nonnegative factors of nonnegative rows.
+
+    Given the parts, every row's weights follow from that row alone, so one
+    pass yields the k x k and k x d sums from which the driver improves the
+    parts. The weights are never stored between passes.
+    """
+    d = width_of(train, vec)
+    h = np.random.RandomState(seed).uniform(0.1, 1.0, (k, d))
+    for _ in range(iterations):
+        fixed = h
+
+        def fold(x: np.ndarray) -> np.ndarray:
+            w = _nonnegative_rows(x, fixed)
+            return np.concatenate([(w.T @ w).ravel(), (w.T @ x).ravel()])
+
+        sums = _partial_sums(train, vec, k * k + k * d, fold)
+        gram, proj = sums[: k * k].reshape(k, k), sums[k * k :].reshape(k, d)
+        h = h.copy()
+        for _ in range(20):
+            for j in range(k):
+                h[j] = np.clip(h[j] + (proj[j] - gram[j] @ h) / (gram[j, j] + 1e-12), 1e-9, None)
+    return Parts(h)

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablewright.operators.lookup import lookup
 from tablewright.session import durable
 
 _LOCAL = (1 << 33) - 1  # row number part of monotonically_increasing_id
@@ -65,7 +66,7 @@ def grouped_median(df: DataFrame, keys: Sequence[str], col: str, out: str = "med
     hi = F.col("_base") + F.floor(F.col("_total") / 2)
     holds = lambda k: (F.col("before") <= k) & (k < F.col("before") + F.col("n"))
     return (
-        ranked.join(spans, keys)
+        lookup(ranked, spans, keys, "inner")
         .where(holds(lo) | holds(hi))
         .groupBy(*keys)
         .agg(((F.max(F.when(holds(lo), F.col("_x"))) + F.max(F.when(holds(hi), F.col("_x")))) / 2).alias(out))
@@ -89,11 +90,14 @@ def column_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
 
 def rank_fraction(df: DataFrame, col: str, out: str = "rank_fraction") -> DataFrame:
     """Average rank (ties share it) over the number of all rows, nulls included; null stays null."""
-    rows = df.count()
-    ranked = ranked_values(df.where(F.col(col).isNotNull()), [col]).select(
-        col, ((F.col("before") + (F.col("n") + 1) / 2) / F.lit(float(max(rows, 1)))).alias(out)
-    )
-    return df.join(ranked, col, "left")
+    values = ranked_values(df, [col])
+    # nulls sort first, so they precede every value without ranking before it
+    rows, nulls = values.agg(
+        F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.when(F.col(col).isNull(), F.col("n"))), F.lit(0))
+    ).first()
+    rank = F.col("before") - F.lit(nulls) + (F.col("n") + 1) / 2
+    ranked = values.where(F.col(col).isNotNull()).select(col, (rank / F.lit(float(max(rows, 1)))).alias(out))
+    return lookup(df, ranked, col)
 
 
 def fit_codes(train: DataFrame, col: str) -> DataFrame:
@@ -109,17 +113,18 @@ def fit_codes(train: DataFrame, col: str) -> DataFrame:
 def apply_codes(df: DataFrame, codes: DataFrame, col: str, out: str = "code", default: int = -1) -> DataFrame:
     """Lookup of fitted codes; null and unseen values give ``default``."""
     model = codes.select(col, F.col("code").alias(out))
-    return df.join(model, col, "left").withColumn(out, F.coalesce(F.col(out), F.lit(default).cast("bigint")))
+    return lookup(df, model, col).withColumn(out, F.coalesce(F.col(out), F.lit(default).cast("bigint")))
 
 
 def group_ids(df: DataFrame, cols: Sequence[str], out: str = "group_id") -> DataFrame:
     """0-based id of the sorted distinct tuple."""
-    ids = ranked_values(df, cols).select(*cols, F.col("pos").alias(out))
-    on = [df[c].eqNullSafe(ids[c]) for c in cols]
-    cond = on[0]
-    for c in on[1:]:
-        cond = cond & c
-    return df.join(ids, cond).select(*[df[c] for c in df.columns], ids[out])
+    ids = ranked_values(df, cols).select(
+        *[F.col(c).alias(f"_g{i}") for i, c in enumerate(cols)], F.col("pos").alias(out)
+    )
+    same = F.lit(True)
+    for i, c in enumerate(cols):
+        same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    return lookup(df, ids, same, "inner").drop(*[f"_g{i}" for i in range(len(cols))])
 
 
 def first_seen_codes(df: DataFrame, row_id: str, combos: dict[str, Sequence[str]], min_occurs: int) -> DataFrame:
@@ -145,7 +150,7 @@ def first_seen_codes(df: DataFrame, row_id: str, combos: dict[str, Sequence[str]
     model = coded.select(
         "key", F.when(F.col("n") >= min_occurs, F.col("_pos") + 1).otherwise(F.lit(-1)).cast("bigint").alias("code")
     )
-    return long.join(model, "key").select(row_id, "combo", "code")
+    return lookup(long, model, "key", "inner").select(row_id, "combo", "code")
 
 
 def ring_next(df: DataFrame, group: Sequence[str], order: str, carry: Sequence[str]) -> DataFrame:
@@ -156,7 +161,7 @@ def ring_next(df: DataFrame, group: Sequence[str], order: str, carry: Sequence[s
     group = list(group)
     placed = positioned(df.select(*group, order, *carry), [*group, order], pos="_p")
     spans = placed.groupBy(*group).agg(F.min("_p").alias("_lo"), F.max("_p").alias("_hi"))
-    placed = placed.join(spans, group).where(F.col("_hi") > F.col("_lo"))
+    placed = lookup(placed, spans, group, "inner").where(F.col("_hi") > F.col("_lo"))
     left = placed.withColumn("_q", F.when(F.col("_p") == F.col("_hi"), F.col("_lo")).otherwise(F.col("_p") + 1))
     right = placed.select(
         F.col("_p").alias("_q"),

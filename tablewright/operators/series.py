@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablewright.operators.lookup import lookup
 from tablewright.operators.ranking import positioned
 
 
@@ -92,7 +93,7 @@ def ewma_by_key(
     placed = positioned(df, [*keys, order], pos="_p")
     if keys:
         first = placed.groupBy(*keys).agg(F.min("_p").alias("_lo"))
-        placed = placed.join(first, keys).withColumn("_p", F.col("_p") - F.col("_lo")).drop("_lo")
+        placed = lookup(placed, first, keys, "inner").withColumn("_p", F.col("_p") - F.col("_lo")).drop("_lo")
     placed = placed.withColumn("_b", F.floor(F.col("_p") / block)).withColumn("_k", F.col("_p") % block)
     grow, decay = F.pow(F.lit(1.0 / r), F.col("_k")), F.pow(F.lit(r), F.col("_k"))
     w = Window.partitionBy(*keys, "_b").orderBy("_k").rowsBetween(Window.unboundedPreceding, 0)

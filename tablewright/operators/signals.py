@@ -28,54 +28,70 @@ def cosine_basis(n: int, k: int) -> np.ndarray:
 
 
 def _lpc(frame: np.ndarray, order: int) -> np.ndarray:
-    """Linear prediction coefficients of windowed frames (rows) by their autocorrelation."""
-    n = frame.shape[1]
-    r = np.stack([(frame[:, : n - k] * frame[:, k:]).sum(1) for k in range(order + 1)], 1)
+    """Linear prediction coefficients of windowed frames (last axis) by their autocorrelation."""
+    n = frame.shape[-1]
+    r = np.stack([(frame[..., : n - k] * frame[..., k:]).sum(-1) for k in range(order + 1)], -1)
     lag = np.abs(np.arange(order)[:, None] - np.arange(order)[None, :])
-    m = r[:, lag] + 1e-9 * (1.0 + r[:, :1, None]) * np.eye(order)
-    return np.linalg.solve(m, r[:, 1:, None])[:, :, 0]
+    m = r[..., lag] + 1e-9 * (1.0 + r[..., :1, None]) * np.eye(order)
+    return np.linalg.solve(m, r[..., 1:, None])[..., 0]
 
 
 def _shape(mag: np.ndarray, freq: np.ndarray) -> np.ndarray:
     """Centroid, spread, skewness and kurtosis of each spectrum."""
-    p = mag / (mag.sum(1, keepdims=True) + 1e-12)
-    c = (p * freq).sum(1, keepdims=True)
-    d = freq[None, :] - c
-    s = np.sqrt((p * d**2).sum(1, keepdims=True)) + 1e-12
-    return np.hstack([c, s, (p * d**3).sum(1, keepdims=True) / s**3, (p * d**4).sum(1, keepdims=True) / s**4])
+    p = mag / (mag.sum(-1, keepdims=True) + 1e-12)
+    c = (p * freq).sum(-1, keepdims=True)
+    d = freq - c
+    s = np.sqrt((p * d**2).sum(-1, keepdims=True)) + 1e-12
+    third, fourth = (p * d**3).sum(-1, keepdims=True), (p * d**4).sum(-1, keepdims=True)
+    return np.concatenate([c, s, third / s**3, fourth / s**4], -1)
+
+
+def framewise(x: np.ndarray, rate: float, bank: np.ndarray, basis: np.ndarray, lpc: int) -> tuple[np.ndarray, np.ndarray]:
+    """Mel bands and the other features of signals x[signal, frame, sample]."""
+    win = x * np.hanning(x.shape[-1])
+    mag = np.abs(np.fft.rfft(win, axis=-1))
+    freq = np.fft.rfftfreq(x.shape[-1], 1.0 / rate)
+    mel = mag @ bank.T
+    cep = np.log(mel + 1e-10) @ basis.T
+    prev = np.concatenate([np.zeros_like(mag[:, :1]), mag[:, :-1]], 1)
+    flux = np.sqrt(((mag - prev) ** 2).sum(-1, keepdims=True))
+    f0 = freq - freq.mean()
+    slope = ((mag - mag.mean(-1, keepdims=True)) @ f0 / (f0**2).sum())[..., None]
+    norm = np.sqrt((mag**2).sum(-1) * (prev**2).sum(-1)) + 1e-12
+    variation = (1.0 - (mag * prev).sum(-1) / norm)[..., None]
+    onset = np.clip(np.log1p(mag) - np.log1p(prev), 0.0, None).sum(-1, keepdims=True)
+    feats = np.concatenate([cep, _lpc(win, lpc), flux, _shape(mag, freq), slope, variation, onset], -1)
+    return mel, feats
 
 
 def spectral_features(
-    df: DataFrame, key: str, frames: str, rate: float = 2000.0, bands: int = 40, lo: float = 30.0,
-    hi: float = 600.0, mfcc: int = 12, lpc: int = 4,
+    df: DataFrame, key: str, signal: str, block: int, step: int, rate: float = 2000.0, bands: int = 40,
+    lo: float = 30.0, hi: float = 600.0, mfcc: int = 12, lpc: int = 4,
 ) -> DataFrame:
-    """Per frame: mel bands, and cepstrum, prediction, flux, shape, slope, variation, onset.
+    """Per frame of ``block`` samples every ``step``: mel bands, and cepstrum,
+    prediction, flux, shape, slope, variation and onset.
 
-    ``frames`` is the array of equally long frames of one signal; one row per
-    (key, frame) comes out.
+    Signals of one table have one length; the last frames are padded with
+    zeros. One row per (key, frame) comes out.
     """
+    bank, basis = mel_bank(bands, lo, hi, rate, block), cosine_basis(bands, mfcc)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for k, cell in zip(pdf[key], pdf[frames]):
-                x = np.stack(cell).astype("float64")
-                block = x.shape[1]
-                win = x * np.hanning(block)
-                mag = np.abs(np.fft.rfft(win, axis=1))
-                freq = np.fft.rfftfreq(block, 1.0 / rate)
-                mel = mag @ mel_bank(bands, lo, hi, rate, block).T
-                cep = np.log(mel + 1e-10) @ cosine_basis(bands, mfcc).T
-                prev = np.vstack([np.zeros((1, mag.shape[1])), mag[:-1]])
-                flux = np.sqrt(((mag - prev) ** 2).sum(1, keepdims=True))
-                f0 = freq - freq.mean()
-                slope = ((mag - mag.mean(1, keepdims=True)) @ f0 / (f0**2).sum())[:, None]
-                norm = np.sqrt((mag**2).sum(1) * (prev**2).sum(1)) + 1e-12
-                variation = (1.0 - (mag * prev).sum(1) / norm)[:, None]
-                rise = np.log1p(mag) - np.log1p(prev)
-                onset = np.clip(rise, 0.0, None).sum(1, keepdims=True)
-                feats = np.hstack([cep, _lpc(win, lpc), flux, _shape(mag, freq), slope, variation, onset])
-                yield pd.DataFrame({key: k, "frame": np.arange(len(x)), "mel": list(mel), "feats": list(feats)})
-
-    return df.select(key, frames).mapInPandas(
-        run, f"{key} bigint, frame int, mel array<double>, feats array<double>"
-    )
+            if not len(pdf):
+                continue
+            x = np.stack(pdf[signal].to_numpy()).astype("float64")
+            count = -(-x.shape[1] // step)
+            x = np.pad(x, ((0, 0), (0, max(0, (count - 1) * step + block - x.shape[1]))))
+            at = np.arange(count)[:, None] * step + np.arange(block)[None, :]
+            mel, feats = framewise(x[:, at], rate, bank, basis, lpc)
+            yield pd.DataFrame(
+                {
+                    key: np.repeat(pdf[key].to_numpy(), count),
+                    "frame": np.tile(np.arange(count, dtype="int32"), len(pdf)),
+                    "mel": list(mel.reshape(-1, bands)),
+                    "feats": list(feats.reshape(-1, feats.shape[-1])),
+                }
+            )
+
+    return df.select(key, signal).mapInPandas(run, f"{key} bigint, frame int, mel array<double>, feats array<double>")

@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.operators.lookup import lookup
 from tablewright.operators.ranking import positioned
 
 
@@ -103,7 +104,7 @@ def variogram(
         F.floor((F.col("y") - box.lo[1]) / cut).alias("cy"),
     )
     cells = celled.groupBy("cx", "cy").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
-    salted = celled.join(cells, ["cx", "cy"]).withColumn("salt", F.pmod(F.xxhash64("id"), F.col("parts")))
+    salted = lookup(celled, cells, ["cx", "cy"], "inner").withColumn("salt", F.pmod(F.xxhash64("id"), F.col("parts")))
     key = ["cx", "cy", "salt"]
     blocks = salted.groupBy(*key).agg(F.collect_list(F.struct("x", "y", "z")).alias("pts"))
 

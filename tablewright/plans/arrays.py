@@ -252,7 +252,15 @@ def profile_features(t: Tables) -> DataFrame:
     return cells.where(F.col("i") < 48 + 4 * len(RINGS))
 
 
-@query("peak_trough")
+@query(
+    "peak_trough",
+    f"""WITH RECURSIVE {SQL_CELLS}, z AS (SELECT vec_id, i, (x - avg(x) OVER w) / stddev_pop(x) OVER w AS x FROM cells WINDOW w AS (PARTITION BY vec_id)),
+ s AS (SELECT vec_id, -1 AS i, true AS tr, false AS pk, 2 AS last, 0 AS nt, 0 AS np FROM embeddings
+  UNION ALL SELECT vec_id, i, x < -1.5, x > 1.5, CASE WHEN up AND pk AND x <= 1.5 THEN 2 WHEN up THEN 1 WHEN pk AND x <= 1.5 AND last = 1 THEN 2 ELSE last END,
+   nt + up::INT, np + (pk AND x <= 1.5 AND (up OR last = 1))::INT
+   FROM (SELECT s.vec_id, z.i, z.x, s.tr, s.pk, s.last, s.nt, s.np, (s.tr AND z.x >= -1.5 AND s.last = 2) AS up FROM s JOIN z ON s.vec_id = z.vec_id AND z.i = s.i + 1) q)
+ SELECT vec_id, least(nt, np)::INT AS peaks FROM s WHERE i = 63""",
+)
 def peak_trough(t: Tables) -> DataFrame:
     return vectors(t).select("vec_id", A.peak_trough(A.standardise_row(F.col("v"))).alias("peaks"))
 
@@ -303,5 +311,5 @@ def odd_votes(t: Tables) -> DataFrame:
 @query("spectral_shape")
 def spectral_shape(t: Tables) -> DataFrame:
     """Each vector as a short signal: frames of 16 every 8."""
-    framed = vectors(t).select("vec_id", A.frames(A.standardise_row(F.col("v")), 16, 8).alias("frames"))
-    return spectral_features(framed, "vec_id", "frames", rate=2000.0, bands=8, mfcc=6)
+    signals = vectors(t).select("vec_id", A.standardise_row(F.col("v")).alias("signal"))
+    return spectral_features(signals, "vec_id", "signal", 16, 8, rate=2000.0, bands=8, mfcc=6)

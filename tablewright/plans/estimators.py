@@ -162,10 +162,9 @@ def pca_whiten(t: Tables) -> DataFrame:
 
 @query("nmf")
 def nmf(t: Tables) -> DataFrame:
-    """Row factors after scaling every row to [0, 1]."""
-    cells = long_cells(vectors(t), A.minmax_row(F.col("v")), "vec_id")
-    rows, _ = P.nmf(cells, "vec_id", "i", "x", 4)
-    return rows.select(F.col("id").alias("vec_id"), F.posexplode("features").alias("k", "weight"))
+    """Weights on four nonnegative parts after scaling every row to [0, 1]."""
+    scaled = vectors(t).withColumn("v", A.minmax_row(F.col("v"))).persist()
+    return long_cells(P.fit_nmf(scaled, "v", 4).apply(scaled, "v"), F.col("v"), "vec_id")
 
 
 @query("rff")

@@ -16,6 +16,7 @@ from tablewright.plans.fixtures import SQL_CELLS, vectors
 from tablewright.plans.registry import Tables, query
 from tablewright.plans.relational import sql_lcg
 from tablewright.plans.series import ECON_COLS, economy_features
+from tablewright.session import durable
 
 SQL_SCORED = """sc AS (SELECT doc_id, quality, n_chars / (n_chars + 1500.0::DOUBLE) AS p FROM labels JOIN documents USING (doc_id))"""
 
@@ -137,7 +138,7 @@ def labelled_documents(t: Tables) -> DataFrame:
 
 def ready(t: Tables, k: int = 3) -> DataFrame:
     """Standardised features and a fold column, kept in memory for the fits."""
-    base = labelled_documents(t)
+    base = durable(labelled_documents(t))  # the texts are read once
     scaled = apply_scale(base, fit_standardise(base, NUM)).na.fill(0.0, NUM)
     return M.assemble(folds.stratified(scaled, "doc_id", "label", k), NUM).persist()
 
@@ -235,7 +236,7 @@ CATS = ["lang", "source", "size", "lang_x_source"]
 
 def category_scorer(t: Tables):
     """Cross-validated AUC of a set of one-hot blocks, built once."""
-    base = labelled_documents(t)
+    base = durable(labelled_documents(t))
     crossed = base.select("doc_id", "label", "lang", "source", "size", *[c.cast("string") for c in crosses(["lang", "source"], 2)])
     crossed = crossed.toDF("doc_id", "label", "lang", "source", "size", "lang_x_source")
     built = M.blocks(folds.stratified(crossed, "doc_id", "label", 2), CATS).persist()

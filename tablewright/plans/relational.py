@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tablewright.functions.scalar import clip, equal_width_bin, ordered_overwrite, recode
 from tablewright.operators import clean, joins, ranking
+from tablewright.operators.lookup import lookup
 from tablewright.plans.fixtures import (
     LI_KEY,
     SQL_NULLS_LI,
@@ -19,6 +20,7 @@ from tablewright.plans.fixtures import (
     wide,
 )
 from tablewright.plans.registry import Tables, query
+from tablewright.session import durable
 
 K = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
 
@@ -45,6 +47,7 @@ def flagship(t: Tables) -> DataFrame:
         "p_brand", "qty_n",
         F.year("l_shipdate").alias("ship_year"), F.month("l_shipdate").alias("ship_month"),
     )
+    joined = durable(joined)  # the fill and the rank read these few columns four times
     filled = clean.group_median_fill(joined, ["p_brand"], "qty_n", out="qty")
     ranked = ranking.rank_fraction(filled, "qty", "rf")
     return ranked.groupBy("ship_year", "ship_month").agg(
@@ -313,7 +316,7 @@ def group_median_fill(t: Tables) -> DataFrame:
     base = nulls_li(t).select(*LI_KEY, "l_returnflag", "k_null", "qty_n")
     keys = ["l_returnflag", "k_null"]
     med = ranking.grouped_median(base, keys, "qty_n", "med")
-    return base.join(med, keys, "left").select(
+    return lookup(base, med, keys).select(
         *LI_KEY,
         F.coalesce("qty_n", "med").alias("qty"),
         F.coalesce(F.col("qty_n"), F.round("med")).alias("qty_rounded"),

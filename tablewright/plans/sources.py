@@ -74,19 +74,22 @@ def file_scan(t: Tables) -> DataFrame:
     return files.scan_files(t.spark, t.folder, "parquet")
 
 
-@query("pcm_decode")
+@query("pcm_decode", f"WITH {SQL_CELLS} SELECT vec_id, i, round(x * 10000) + 0.0 AS x FROM cells")
 def pcm_decode(t: Tables) -> DataFrame:
     """Each vector written as big-endian 16-bit samples, then decoded."""
     v = F.col("embedding")
-    code = F.transform(v, lambda x: F.lpad(F.hex(F.pmod(F.round(x * 10000).cast("int"), F.lit(65536))), 4, "0"))
+    code = F.transform(v, lambda x: F.lpad(F.hex(F.pmod(F.round(x.cast("double") * 10000).cast("int"), F.lit(65536))), 4, "0"))
     raw = t.embeddings.select("vec_id", F.unhex(F.array_join(code, "")).alias("content"))
-    return files.decode_pcm16be(raw, "vec_id", "content")
+    decoded = files.decode_pcm16be(raw, "vec_id", "content")
+    return decoded.select("vec_id", F.posexplode("samples").alias("i", "x"))
 
 
 @query("grid_lookup", f"WITH {SQL_GRID} SELECT lat, lon, round(value, 6) AS value FROM grid WHERE dt = 19970301 AND fhour = 12 AND ens = 3")
 def grid_lookup(t: Tables) -> DataFrame:
     path = t.scratch()
-    grid(t).write.partitionBy("dt").parquet(path)
+    # ranges over a unique key: few files per date, and a busy date spreads over several tasks
+    cells = grid(t).repartitionByRange("dt", "fhour", "ens", "lat", "lon")
+    cells.write.partitionBy("dt").parquet(path)
     found = files.grid_lookup(t.spark.read.parquet(path), 19970301, 12, 3)
     return found.withColumn("value", F.round("value", 6))
 

@@ -105,6 +105,31 @@ def apply_scale(df: DataFrame, model: Scale) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class CellScale:
+    """Centre and spread per position of a vector."""
+
+    centre: tuple[float, ...]
+    spread: tuple[float, ...]
+
+
+def fit_cells(train: DataFrame, vec: str, how: str = "std", ddof: int = 0) -> CellScale:
+    """Mean and std, or minimum and range, of every vector position; one row per position is read."""
+    cells = train.select(F.posexplode(vec).alias("i", "x"))
+    std = F.stddev_samp("x") if ddof else F.stddev_pop("x")
+    stats = (F.avg("x"), std) if how == "std" else (F.min("x"), F.max("x") - F.min("x"))
+    rows = cells.groupBy("i").agg(stats[0].alias("c"), stats[1].alias("s")).orderBy("i").collect()
+    return CellScale(tuple(r["c"] for r in rows), tuple(r["s"] for r in rows))
+
+
+def apply_cells(df: DataFrame, vec: str, model: CellScale) -> DataFrame:
+    """(x - centre) / spread per position; a zero spread gives null."""
+    fixed = F.array(
+        *[F.struct(F.lit(c).alias("c"), F.lit(s).alias("s")) for c, s in zip(model.centre, model.spread)]
+    )
+    return df.withColumn(vec, F.zip_with(vec, fixed, lambda x, m: F.try_divide(x - m["c"], m["s"])))
+
+
 def winsorise(df: DataFrame, cols: Sequence[str], factor: float = 3.0) -> DataFrame:
     """Values farther than factor * std (population) from the mean move to that bound."""
     s = fit_standardise(df, cols, ddof=0)

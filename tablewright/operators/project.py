@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_WIDTH = 8192
+MAX_WIDTH = 2048
 
 
 def _stack(col: pd.Series) -> np.ndarray:

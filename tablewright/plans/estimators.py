@@ -9,7 +9,7 @@ from tablewright.functions import arrays as A
 from tablewright.operators import cluster as C
 from tablewright.operators import encode as N
 from tablewright.operators import project as P
-from tablewright.operators.clean import apply_scale, fit_standardise
+from tablewright.operators.clean import apply_cells, apply_scale, fit_cells, fit_standardise
 from tablewright.plans.fixtures import SQL_CELLS, long_cells, vectors
 from tablewright.plans.registry import Tables, query
 
@@ -160,10 +160,30 @@ def pca_whiten(t: Tables) -> DataFrame:
     return P.covariance_rows(white, "v").withColumn("cov", F.round("cov", 6) + 0.0)
 
 
+@query(
+    "standardise_cells",
+    f"""WITH {SQL_CELLS} SELECT vec_id, i, round((x - avg(x) OVER w) / stddev_pop(x) OVER w, 6) AS x FROM cells WINDOW w AS (PARTITION BY i)""",
+)
+def standardise_cells(t: Tables) -> DataFrame:
+    """Every vector position scaled by its own mean and std."""
+    v = vectors(t)
+    return long_cells(apply_cells(v, "v", fit_cells(v, "v")), F.col("v"), "vec_id")
+
+
+@query(
+    "minmax_cells",
+    f"""WITH {SQL_CELLS} SELECT vec_id, i, round((x - min(x) OVER w) / (max(x) OVER w - min(x) OVER w), 6) AS x FROM cells WINDOW w AS (PARTITION BY i)""",
+)
+def minmax_cells(t: Tables) -> DataFrame:
+    v = vectors(t)
+    return long_cells(apply_cells(v, "v", fit_cells(v, "v", "minmax")), F.col("v"), "vec_id")
+
+
 @query("nmf")
 def nmf(t: Tables) -> DataFrame:
-    """Weights on four nonnegative parts after scaling every row to [0, 1]."""
-    scaled = vectors(t).withColumn("v", A.minmax_row(F.col("v"))).persist()
+    """Weights on four nonnegative parts after scaling every position to [0, 1]."""
+    v = vectors(t)
+    scaled = apply_cells(v, "v", fit_cells(v, "v", "minmax")).persist()
     return long_cells(P.fit_nmf(scaled, "v", 4).apply(scaled, "v"), F.col("v"), "vec_id")
 
 

@@ -124,10 +124,10 @@ def fit_cells(train: DataFrame, vec: str, how: str = "std", ddof: int = 0) -> Ce
 
 def apply_cells(df: DataFrame, vec: str, model: CellScale) -> DataFrame:
     """(x - centre) / spread per position; a zero spread gives null."""
-    fixed = F.array(
-        *[F.struct(F.lit(c).alias("c"), F.lit(s).alias("s")) for c, s in zip(model.centre, model.spread)]
-    )
-    return df.withColumn(vec, F.zip_with(vec, fixed, lambda x, m: F.try_divide(x - m["c"], m["s"])))
+    centre = F.array(*map(F.lit, model.centre)).cast("array<double>")
+    spread = F.array(*map(F.lit, model.spread)).cast("array<double>")
+    centred = F.zip_with(vec, centre, lambda x, m: x - m)
+    return df.withColumn(vec, F.zip_with(centred, spread, lambda x, s: F.try_divide(x, s)))
 
 
 def winsorise(df: DataFrame, cols: Sequence[str], factor: float = 3.0) -> DataFrame:

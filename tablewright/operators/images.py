@@ -135,28 +135,30 @@ def profile_vector(arr: Column, h: int, w: int, radii: Sequence[int] = RADII) ->
     ratios in [0, 10]; four moments per ring; peaks per ring.
     """
     regions = profile_regions(h, w)
-    names = [n for n in regions if n not in ("inner", "outer")]
-    rings = [A.pick(arr, ring_index(h, w, r)) for r in radii]
-    parts = F.struct(
-        A.mean(arr).alias("all"),
-        *[A.moments(A.pick(arr, regions[n])).alias(n) for n in regions],
-        *[A.moments(c).alias(f"ring{k}") for k, c in enumerate(rings)],
-    )
+    names = list(regions)
+    sections = [k for k, n in enumerate(names) if n not in ("inner", "outer")]
+    inner, outer = names.index("inner"), names.index("outer")
+    lists = [*regions.values(), *[ring_index(h, w, r) for r in radii]]
+    index = F.array(*[F.array(*map(F.lit, cells)) for cells in lists])
+    # one expression for all regions: each is read by position, then summarised
+    cells = F.transform(index, lambda at: F.transform(at, lambda i: F.get(arr, i)))
+    rings = F.slice(cells, len(names) + 1, len(radii))
+    peaks = F.transform(rings, lambda c: A.peak_trough(A.standardise_row(A.circular_mean3(c))).cast("double"))
+    parts = F.struct(A.mean(arr).alias("all"), F.transform(cells, A.moments).alias("m"))
 
     def build(s: Column) -> Column:
-        cells = []
+        out = []
         for m in MOMENTS:
-            cells += [s["all"], *[s[n][m] for n in names]]
+            out += [s["all"], *[s["m"][k][m] for k in sections]]
         for m in MOMENTS:
-            ratio = F.try_divide(s["inner"][m], s["outer"][m])
-            cells.append(F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(10.0), ratio)), F.lit(10.0)))
-        for k in range(len(rings)):
-            cells += [s[f"ring{k}"][m] for m in MOMENTS]
-        cells += [A.peak_trough(A.standardise_row(A.circular_mean3(c))).cast("double") for c in rings]
-        # least skips nulls, so a missing ratio would read as 10: the same value the rule asks for
-        return F.array(*cells)
-
-    return A.let(parts, build)
+            # least skips nulls, so a missing ratio would read as 10: the same value the rule asks for
+            ratio = F.try_divide(s["m"][inner][m], s["m"][outer][m])
+            out.append(F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(10.0), ratio)), F.lit(10.0)))
+        for k in range(len(radii)):
+            out += [s["m"][len(names) + k][m] for m in MOMENTS]
+        return F.array(*out)
+
+    return F.concat(A.let(parts, build), peaks)
 
 
 # ---- training variants

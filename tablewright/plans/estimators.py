@@ -24,13 +24,13 @@ SQL_STOP = ", ".join(f"'{w}'" for w in STOP)
     "target_encode",
     """WITH j AS (SELECT d.doc_id, source, lang, quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
  l AS (SELECT doc_id, quality, unnest(['source', 'lang']) AS feature, unnest([source, lang]) AS value FROM j)
- SELECT doc_id, feature, round(avg(coalesce(quality, 0.5::DOUBLE)) OVER (PARTITION BY feature, value) / 1.01::DOUBLE, 6) AS encoded FROM l""",
+ SELECT doc_id, feature, round(avg(coalesce(quality, 0.5::DOUBLE)) OVER (PARTITION BY feature, value) , 10) AS encoded FROM l""",
 )
 def target_encode(t: Tables) -> DataFrame:
     """Labelled documents train, unlabelled ones count one half."""
     table = t.documents.select("doc_id", "source", "lang").join(t.labels.select("doc_id", "quality"), "doc_id", "left")
     out = N.target_encode(table, "doc_id", ["source", "lang"], "quality")
-    return out.select("doc_id", "feature", F.round(F.col("encoded") / 1.01, 6).alias("encoded"))
+    return out.select("doc_id", "feature", F.round("encoded", 10).alias("encoded"))
 
 
 @query(

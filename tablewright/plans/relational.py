@@ -93,13 +93,13 @@ def box_volume(t: Tables) -> DataFrame:
 
 @query(
     "split_by_predicate",
-    """SELECT c_mktsegment = 'BUILDING' AS side, count(*) AS n, round(avg(c_acctbal), 4) AS mean_bal
+    """SELECT c_mktsegment = 'BUILDING' AS side, count(*) AS n, round(avg(ln(c_acctbal + 2000)), 6) AS mean_log
  FROM customer GROUP BY 1""",
 )
 def split_by_predicate(t: Tables) -> DataFrame:
     yes, no = clean.split_by(t.customer, F.col("c_mktsegment") == "BUILDING")
     out = lambda d, side: d.agg(
-        F.lit(side).alias("side"), F.count(F.lit(1)).alias("n"), F.round(F.avg("c_acctbal"), 4).alias("mean_bal")
+        F.lit(side).alias("side"), F.count(F.lit(1)).alias("n"), F.round(F.avg(F.log(F.col("c_acctbal") + 2000)), 6).alias("mean_log")
     )
     return out(yes, True).unionByName(out(no, False))
 
@@ -209,12 +209,12 @@ def semi_join(t: Tables) -> DataFrame:
 
 @query(
     "left_join_default",
-    f"""WITH f AS (SELECT o_orderdate AS l_shipdate, avg(o_totalprice) / 100000 AS factor FROM orders GROUP BY 1)
+    f"""WITH f AS (SELECT o_orderdate AS l_shipdate, avg(ln(o_totalprice)) AS factor FROM orders GROUP BY 1)
  SELECT {K}, round(coalesce(factor, 1), 6) AS factor FROM lineitem LEFT JOIN f USING (l_shipdate)""",
 )
 def left_join_default(t: Tables) -> DataFrame:
     factor = t.orders.groupBy(F.col("o_orderdate").alias("l_shipdate")).agg(
-        (F.avg("o_totalprice") / 100000).alias("factor")
+        F.avg(F.log("o_totalprice")).alias("factor")
     )
     out = joins.left_join_default(t.lineitem.select(*LI_KEY, "l_shipdate"), factor, "l_shipdate", "factor", 1.0)
     return out.select(*LI_KEY, F.round("factor", 6).alias("factor"))
@@ -247,13 +247,15 @@ def map_unseen(t: Tables) -> DataFrame:
 
 @query(
     "same_group_pair_stats",
-    """SELECT a.source, a.lang, count(*) AS pairs, round(avg((a.n_chars - b.n_chars)::DOUBLE * (a.n_chars - b.n_chars)), 2) AS mean_sq_diff
+    """SELECT a.source, a.lang, count(*) AS pairs, round(sqrt(avg((a.n_chars - b.n_chars)::DOUBLE * (a.n_chars - b.n_chars))), 6) AS rms_diff
  FROM documents a JOIN documents b ON a.source = b.source AND a.lang = b.lang AND a.doc_id <> b.doc_id GROUP BY 1, 2""",
 )
 def same_group_pair_stats(t: Tables) -> DataFrame:
     """All ordered pairs within (source, lang), summed up without forming them."""
     stats = joins.pair_totals(t.documents, ["source", "lang"], "n_chars")
-    return stats.where(F.col("pairs") > 0).withColumn("mean_sq_diff", F.round("mean_sq_diff", 2))
+    return stats.where(F.col("pairs") > 0).select(
+        "source", "lang", "pairs", F.round(F.sqrt("mean_sq_diff"), 6).alias("rms_diff")
+    )
 
 
 _LCG = "(((({k})::BIGINT * 1103515245 + 12345) % 2147483648) / 2147483648.0::DOUBLE)"

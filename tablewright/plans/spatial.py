@@ -78,14 +78,14 @@ SQL_DAILY = """m AS (SELECT dt, ens, lat, lon, sum(value) AS v FROM grid WHERE f
  dm AS (SELECT dt, lat, lon, avg(v) * 10800 AS value FROM m GROUP BY 1, 2, 3)"""
 
 
-@query("daily_mean_sum", f"WITH {SQL_GRID}, {SQL_DAILY} SELECT dt, lat, lon, round(value / 10801, 5) AS value FROM dm")
+@query("daily_mean_sum", f"WITH {SQL_GRID}, {SQL_DAILY} SELECT dt, lat, lon, round(ln(value), 6) AS value FROM dm")
 def daily_mean_sum(t: Tables) -> DataFrame:
-    return P.daily_mean_sum(grid(t)).withColumn("value", F.round(F.col("value") / 10801, 5))
+    return P.daily_mean_sum(grid(t)).withColumn("value", F.round(F.log("value"), 6))
 
 
-@query("mean_over_axes", f"WITH {SQL_GRID} SELECT dt, lat, lon, round(avg(value) / 1.01::DOUBLE, 5) AS value FROM grid GROUP BY 1, 2, 3")
+@query("mean_over_axes", f"WITH {SQL_GRID} SELECT dt, lat, lon, round(ln(avg(value)), 6) AS value FROM grid GROUP BY 1, 2, 3")
 def mean_over_axes(t: Tables) -> DataFrame:
-    return grid(t).groupBy("dt", "lat", "lon").agg(F.round(F.avg("value") / 1.01, 5).alias("value"))
+    return grid(t).groupBy("dt", "lat", "lon").agg(F.round(F.log(F.avg("value")), 6).alias("value"))
 
 
 @query(
@@ -94,7 +94,7 @@ def mean_over_axes(t: Tables) -> DataFrame:
   260 + (s_suppkey * 91 % 500) / 100.0::DOUBLE AS lon FROM supplier),
  c AS (SELECT dt, stid, value, pow(st.lat - dm.lat, 2) + pow(st.lon - dm.lon, 2) AS d2 FROM st JOIN dm
   ON dm.lat - floor(st.lat) IN (0, 1) AND dm.lon - floor(st.lon) IN (0, 1))
- SELECT dt, stid, round(coalesce(max(value) FILTER (d2 = 0), sum(value / nullif(d2, 0)) / sum(1 / nullif(d2, 0))) / 10801, 5) AS value
+ SELECT dt, stid, round(ln(coalesce(max(value) FILTER (d2 = 0), sum(value / nullif(d2, 0)) / sum(1 / nullif(d2, 0)))), 6) AS value
  FROM c GROUP BY 1, 2""",
 )
 def grid_to_station(t: Tables) -> DataFrame:
@@ -103,7 +103,7 @@ def grid_to_station(t: Tables) -> DataFrame:
         k.alias("stid"), (30 + (k * 37 % 400) / 100).alias("lat"), (260 + (k * 91 % 500) / 100).alias("lon")
     )
     out = P.grid_to_station(P.daily_mean_sum(grid(t)), stations)
-    return out.withColumn("value", F.round(F.col("value") / 10801, 5))
+    return out.withColumn("value", F.round(F.log("value"), 6))
 
 
 @query("fill_rate", f"""WITH {SQL_HEIGHT}, m AS (SELECT max(h) AS top FROM height_grid)

@@ -12,26 +12,40 @@ from tablewright.operators.lookup import lookup
 from tablewright.operators.ranking import positioned
 
 
-def _contiguous(pos: Column, n: int, k: int) -> Column:
-    """First n % k folds hold one row more."""
-    small, extra = n // k, n % k
-    edge = extra * (small + 1)
-    early = F.floor(pos / (small + 1))
-    late = F.lit(extra) + F.floor((pos - edge) / max(small, 1))
-    return F.when(pos < edge, early).otherwise(late).cast("int")
+def _order(row_id: str, seed: int | None) -> list[Column]:
+    """By row id, or by a seeded draw with the row id on ties."""
+    return [F.col(row_id)] if seed is None else [lcg(F.col(row_id) + seed), F.col(row_id)]
+
+
+def _segments(df: DataFrame, row_id: str, seed: int | None, starts: Sequence[int], out: str) -> DataFrame:
+    """Number of the segment a row falls in, when the ordered rows are cut at the given positions.
+
+    Only the ids are ordered. The few keys at the cuts come back as literals,
+    so the full rows are not moved.
+    """
+    order = _order(row_id, seed)
+    ids = df.select(*[c.alias(f"_o{i}") for i, c in enumerate(order)])
+    names = ids.columns
+    placed = positioned(ids, names, pos="_p")
+    cuts = placed.where(F.col("_p").isin([int(s) for s in starts])).collect()
+    segment = F.lit(0)
+    for cut in cuts:
+        later = order[-1] >= cut[names[-1]]
+        if len(order) == 2:
+            later = (order[0] > cut[names[0]]) | ((order[0] == cut[names[0]]) & later)
+        segment = segment + later.cast("int")
+    return df.withColumn(out, segment)
 
 
 def kfold(df: DataFrame, row_id: str, k: int, shuffle: bool = False, seed: int = 1, out: str = "fold") -> DataFrame:
-    order = [lcg(F.col(row_id) + seed), F.col(row_id)] if shuffle else [F.col(row_id)]
-    placed = positioned(df, order, pos="_p")
-    return placed.withColumn(out, _contiguous(F.col("_p"), df.count(), k)).drop("_p")
+    """Contiguous folds in id order, or in a seeded random order; the first n % k hold one row more."""
+    n = df.count()
+    starts = [i * (n // k) + min(i, n % k) for i in range(1, k)]
+    return _segments(df, row_id, seed if shuffle else None, starts, out)
 
 
 def _within_class(df: DataFrame, row_id: str, label: str, seed: int | None) -> DataFrame:
-    order: Sequence = [F.col(label), F.col(row_id)]
-    if seed is not None:
-        order = [F.col(label), lcg(F.col(row_id) + seed), F.col(row_id)]
-    placed = positioned(df, order, pos="_p")
+    placed = positioned(df, [F.col(label), *_order(row_id, seed)], pos="_p")
     spans = placed.groupBy(label).agg(F.min("_p").alias("_lo"), F.count(F.lit(1)).alias("_n"))
     return lookup(placed, spans, label, "inner").withColumn("_p", F.col("_p") - F.col("_lo")).drop("_lo")
 
@@ -48,6 +62,6 @@ def stratified_shuffle(df: DataFrame, row_id: str, label: str, test: float = 0.1
 
 
 def shuffle_split(df: DataFrame, row_id: str, train: float, seed: int = 1, out: str = "is_train") -> DataFrame:
-    n = df.count()
-    placed = positioned(df, [lcg(F.col(row_id) + seed), F.col(row_id)], pos="_p")
-    return placed.withColumn(out, F.col("_p") < F.lit(round(train * n))).drop("_p")
+    """A random share of the rows for training."""
+    cut = _segments(df, row_id, seed, [round(train * df.count())], "_s")
+    return cut.withColumn(out, F.col("_s") == 0).drop("_s")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 100_000
+BROADCAST_ROWS = 50_000
 
 
 def sized(model: DataFrame) -> DataFrame:
@@ -17,8 +17,8 @@ def sized(model: DataFrame) -> DataFrame:
     stays a distributed one and is left to a shuffled join, where Spark splits
     hot keys.
     """
-    head = model.limit(BROADCAST_ROWS + 1).toArrow()
-    if head.num_rows > BROADCAST_ROWS:
+    head = model.limit(BROADCAST_ROWS + 1).collect()
+    if len(head) > BROADCAST_ROWS:
         return model
     return F.broadcast(model.sparkSession.createDataFrame(head, model.schema))
 

@@ -12,6 +12,7 @@ from tablewright.operators.signals import spectral_features
 from tablewright.plans.fixtures import SQL_CELLS, SQL_VOTES, long_cells, vectors, votes
 from tablewright.plans.registry import Tables, query
 from tablewright.plans.relational import sql_lcg
+from tablewright.session import spread
 
 SQL_MOM = """avg(x) AS m, stddev_pop(x) AS s, (avg(x*x*x) - 3*avg(x)*avg(x*x) + 2*pow(avg(x), 3)) / pow(var_pop(x), 1.5::DOUBLE) AS sk,
  kurtosis_pop(x) AS ku"""
@@ -163,6 +164,16 @@ def blend_median(t: Tables) -> DataFrame:
     return vectors(t).select("vec_id", A.median(F.transform(F.col("v"), lambda x: x * 10)).cast("int").alias("klass"))
 
 
+@query(
+    "blend_argmax",
+    f"""WITH {SQL_CELLS}, m AS (SELECT vec_id, (i % 16)::INT AS k, avg(x) AS p FROM cells GROUP BY 1, 2)
+ SELECT vec_id, k AS klass FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY p DESC, k) AS r FROM m) z WHERE r = 1""",
+)
+def blend_argmax(t: Tables) -> DataFrame:
+    """Four models with 16 class outputs each: mean per class, then the best class."""
+    return vectors(t).select("vec_id", A.argmax(A.blend_classes(F.col("v"), 16)).alias("klass"))
+
+
 # ---- 8 x 8 pages
 
 
@@ -248,7 +259,7 @@ def _sql_profile() -> str:
 @query("profile_features", _sql_profile())
 def profile_features(t: Tables) -> DataFrame:
     """Section, square and ring numbers; the peak counts have a query of their own."""
-    cells = long_cells(vectors(t), I.profile_vector(F.col("v"), 8, 8, RINGS), "vec_id", digits=5)
+    cells = long_cells(spread(vectors(t), "vec_id"), I.profile_vector(F.col("v"), 8, 8, RINGS), "vec_id", digits=5)
     return cells.where(F.col("i") < 48 + 4 * len(RINGS))
 
 
@@ -276,7 +287,7 @@ def augment_noise(t: Tables) -> DataFrame:
 
 @query("augment_affine")
 def augment_affine(t: Tables) -> DataFrame:
-    return I.augment_affine(vectors(t), "vec_id", "v", 8)
+    return I.augment_affine(spread(vectors(t), "vec_id"), "vec_id", "v", 8)
 
 
 SHARES = "v / nullif(sum(v) OVER (PARTITION BY vec_id, g), 0)"
@@ -311,5 +322,5 @@ def odd_votes(t: Tables) -> DataFrame:
 @query("spectral_shape")
 def spectral_shape(t: Tables) -> DataFrame:
     """Each vector as a short signal: frames of 16 every 8."""
-    signals = vectors(t).select("vec_id", A.standardise_row(F.col("v")).alias("signal"))
+    signals = spread(vectors(t), "vec_id").select("vec_id", A.standardise_row(F.col("v")).alias("signal"))
     return spectral_features(signals, "vec_id", "signal", 16, 8, rate=2000.0, bands=8, mfcc=6)

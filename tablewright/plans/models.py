@@ -12,11 +12,11 @@ from tablewright.operators import models as M
 from tablewright.operators import project as P
 from tablewright.operators.clean import apply_scale, fit_standardise
 from tablewright.operators.joins import left_join_default
-from tablewright.plans.fixtures import SQL_CELLS, vectors
+from tablewright.plans.fixtures import LI_KEY, SQL_CELLS, vectors
 from tablewright.plans.registry import Tables, query
 from tablewright.plans.relational import sql_lcg
 from tablewright.plans.series import ECON_COLS, economy_features
-from tablewright.session import durable
+from tablewright.session import durable, spread
 
 SQL_SCORED = """sc AS (SELECT doc_id, quality, n_chars / (n_chars + 1500.0::DOUBLE) AS p FROM labels JOIN documents USING (doc_id))"""
 
@@ -125,7 +125,7 @@ def labelled_documents(t: Tables) -> DataFrame:
     chars = F.length(text).cast("double")
     count = lambda pattern: F.regexp_count(text, F.lit(pattern)).cast("double")
     return (
-        t.documents.join(t.labels, "doc_id")
+        spread(t.documents, "doc_id").join(t.labels, "doc_id")
         .select(
             "doc_id", "lang", "source", F.col("quality").cast("double").alias("label"),
             F.log1p(chars).alias("chars"), F.log1p(count(r"\S+")).alias("words"), F.log1p(count("\n")).alias("lines"),
@@ -171,7 +171,7 @@ LI_FEATURES = ["l_quantity", "l_discount", "l_tax", "p_size", "p_retailprice"]
 
 def priced(t: Tables) -> DataFrame:
     part = t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_size").cast("double").alias("p_size"), "p_retailprice")
-    rows = t.lineitem.join(part, "l_partkey").select(
+    rows = spread(t.lineitem, *LI_KEY).join(part, "l_partkey").select(
         "l_returnflag", "l_linestatus", *LI_FEATURES, F.log("l_extendedprice").alias("y")
     )
     return M.assemble(rows, LI_FEATURES)
@@ -191,7 +191,7 @@ def rf_regressor(t: Tables) -> DataFrame:
 @query("rf_multi_regressor")
 def rf_multi_regressor(t: Tables) -> DataFrame:
     """One forest per target on one cached input; error over all outputs."""
-    data = vectors(t).select(
+    data = spread(vectors(t), "vec_id").select(
         "vec_id", array_to_vector(F.slice("v", 5, 16)).alias("features"), *[F.col("v")[i].alias(f"y{i}") for i in range(4)]
     ).persist()
     out = data
@@ -291,7 +291,7 @@ def group_models(t: Tables) -> DataFrame:
 def econ_price_model(t: Tables) -> DataFrame:
     """Log price forest, daily residual factor from outside series, factor joined back, price per day."""
     status = F.when(F.col("o_orderstatus") == "F", 0.0).when(F.col("o_orderstatus") == "O", 1.0).otherwise(2.0)
-    rows = t.orders.select(
+    rows = spread(t.orders, "o_orderkey").select(
         "o_orderkey", F.to_date("o_orderdate").alias("d"), F.log("o_totalprice").alias("y"),
         F.month("o_orderdate").cast("double").alias("month"), F.year("o_orderdate").cast("double").alias("year"),
         F.substring("o_orderpriority", 1, 1).cast("double").alias("priority"), status.alias("status"),

@@ -3,7 +3,7 @@
 The tables here are already aggregated to one row per date, so their size is
 bounded by the calendar (a century has 36,525 days) and does not grow with
 the facts. A window over all dates is safe for that reason only; series with
-more rows go through ``by_key``, which windows over bounded chunks.
+more rows go through ``ewma``, which windows over blocks of bounded length.
 """
 
 from __future__ import annotations
@@ -40,11 +40,11 @@ def lagged(df: DataFrame, key: str, col: str, k: int) -> Column:
     return F.lag(col, k).over(_order(key))
 
 
-def delay_line(df: DataFrame, key: str, col: str, lags: Sequence[int], fill: float = 0.0) -> DataFrame:
-    """One column per lag; where the series has not started yet the fill value."""
+def delay_line(df: DataFrame, key: str, cols: Sequence[str], lags: Sequence[int], fill: float = 0.0) -> DataFrame:
+    """One more column per series and lag; where the series has not started yet the fill value."""
     w = _order(key)
     return df.select(
-        key, col, *[F.coalesce(F.lag(col, k).over(w), F.lit(fill)).alias(f"{col}_lag{k}") for k in lags]
+        "*", *[F.coalesce(F.lag(c, k).over(w), F.lit(fill)).alias(f"{c}_lag{k}") for c in cols for k in lags]
     )
 
 
@@ -66,59 +66,46 @@ def shift_with_seed(df: DataFrame, key: str, col: str, seed: float, std: float,
     return df.select(key, (F.when(first, F.lit(seed)).otherwise(prev) * std + mean).alias(col))
 
 
-def ewma(df: DataFrame, key: str, cols: Sequence[str], span: int) -> DataFrame:
-    """Adjusted exponentially weighted mean of a daily series."""
-    out = df
-    for c in cols:
-        out = ewma_by_key(out, [], key, c, span, out=c)
-    return out
-
-
-def ewma_by_key(
-    df: DataFrame, keys: Sequence[str], order: str, col: str, span: int, out: str = "ewma", block: int = 512
-) -> DataFrame:
-    """Adjusted exponentially weighted mean per key, whatever the length of one key's series.
+def ewma(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str], span: int, block: int = 512) -> DataFrame:
+    """Adjusted exponentially weighted means, whatever the length of one key's series.
 
-    sum((1-a)^i x) / sum((1-a)^i) with a = 2 / (span + 1). Rows get a position
-    in their series and fall into blocks of fixed length. Inside a block the
-    sum is a running total of x * r^-k scaled back by r^k, and every block
-    receives the decayed end value of the blocks before it: r^block is far
-    below double precision, so the previous block's end carries all of it.
-    ``order`` must be unique within a key, and ``col`` must not be null.
+    sum((1-a)^i x) / sum((1-a)^i) with a = 2 / (span + 1); the columns are
+    replaced. Rows get a position in their series and fall into blocks of
+    fixed length. Inside a block the sum is a running total of x * r^-k scaled
+    back by r^k, and every block receives the decayed end values of the blocks
+    before it, as far back as they matter in double precision. ``order`` must
+    be unique within a key, and the values must not be null.
     """
+    keys = list(keys)
     r = 1.0 - 2.0 / (span + 1.0)
-    while r ** (2 * block) < 1e-250:
+    while block > 1 and r ** (2 * block) < 1e-250:
         block //= 2
-    keys = list(keys)
+    reach = 1
+    while r ** (block * reach) > 1e-18:
+        reach += 1
     placed = positioned(df, [*keys, order], pos="_p")
     if keys:
         first = placed.groupBy(*keys).agg(F.min("_p").alias("_lo"))
         placed = lookup(placed, first, keys, "inner").withColumn("_p", F.col("_p") - F.col("_lo")).drop("_lo")
-    placed = placed.withColumn("_b", F.floor(F.col("_p") / block)).withColumn("_k", F.col("_p") % block)
+    placed = placed.withColumns({"_b": F.floor(F.col("_p") / block), "_k": F.col("_p") % block})
     grow, decay = F.pow(F.lit(1.0 / r), F.col("_k")), F.pow(F.lit(r), F.col("_k"))
     w = Window.partitionBy(*keys, "_b").orderBy("_k").rowsBetween(Window.unboundedPreceding, 0)
-    local = placed.withColumn("_num", F.sum(F.col(col) * grow).over(w) * decay)
-    # end value of a block, by itself, decayed to the first row of the next one
-    ends = placed.groupBy(*keys, "_b").agg(
-        F.sum(F.col(col) * F.pow(F.lit(r), F.lit(float(block)) - F.col("_k"))).alias("_end")
+    out = placed.withColumns({f"_n{i}": F.sum(F.col(c) * grow).over(w) * decay for i, c in enumerate(cols)})
+    # end value of a block by itself, decayed to the first row of the next one
+    fade = F.pow(F.lit(r), F.lit(float(block)) - F.col("_k"))
+    ends = placed.groupBy(*keys, "_b").agg(*[F.sum(F.col(c) * fade).alias(f"_e{i}") for i, c in enumerate(cols)])
+    # one row per block with what it receives: each end feeds the next ``reach`` blocks
+    fed = ends.withColumn("_s", F.explode(F.sequence(F.lit(1), F.lit(reach))))
+    weight = F.pow(F.lit(r**block), F.col("_s") - 1)
+    carry = fed.groupBy(*keys, (F.col("_b") + F.col("_s")).alias("_b")).agg(
+        *[F.sum(F.col(f"_e{i}") * weight).alias(f"_c{i}") for i in range(len(cols))]
     )
-    carry_cols = [*keys, (F.col("_b") + 1).alias("_b"), F.col("_end").alias("_in")]
-    joined = local.join(ends.select(*carry_cols), [*keys, "_b"], "left")
-    if r**block > 1e-18:  # short blocks: earlier ends still matter
-        reach = 1
-        while r ** (block * reach) > 1e-18:
-            reach += 1
-        for step in range(2, reach + 1):
-            older = ends.select(
-                *keys, (F.col("_b") + step).alias("_b"),
-                (F.col("_end") * F.lit(r ** (block * (step - 1)))).alias(f"_in{step}"),
-            )
-            joined = joined.join(older, [*keys, "_b"], "left").withColumn(
-                "_in", F.coalesce(F.col("_in"), F.lit(0.0)) + F.coalesce(F.col(f"_in{step}"), F.lit(0.0))
-            ).drop(f"_in{step}")
-    numerator = F.col("_num") + F.coalesce(F.col("_in"), F.lit(0.0)) * decay
+    out = out.join(carry, [*keys, "_b"], "left")
     weights = (1.0 - F.pow(F.lit(r), F.col("_p") + 1)) / (1.0 - r)
-    return joined.withColumn(out, numerator / weights).drop("_p", "_b", "_k", "_num", "_in")
+    means = {
+        c: (F.col(f"_n{i}") + F.coalesce(F.col(f"_c{i}"), F.lit(0.0)) * decay) / weights for i, c in enumerate(cols)
+    }
+    return out.withColumns(means).select(*df.columns)
 
 
 def pair_dispersion(wide: DataFrame, stations: Sequence[str]) -> DataFrame:

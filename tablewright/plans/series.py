@@ -49,7 +49,7 @@ LAGS = [1, 2, 3, 4, 7, 13, 25]
  FROM daily""",
 )
 def delay_line(t: Tables) -> DataFrame:
-    out = Q.delay_line(daily(t), "d", "e1", LAGS)
+    out = Q.delay_line(daily(t).select("d", "e1"), "d", ["e1"], LAGS)
     return rounded(out, "e1", *[f"e1_lag{k}" for k in LAGS])
 
 
@@ -79,7 +79,7 @@ def rolling_mean(t: Tables) -> DataFrame:
 def ewma(t: Tables) -> DataFrame:
     """Span 12 per user; a busy user's series is cut into blocks."""
     ev = t.events.select("event_id", "user_id", F.struct("ts", "event_id").alias("at"), "value")
-    return Q.ewma_by_key(ev, ["user_id"], "at", "value", 12).select("event_id", F.round("ewma", 6).alias("ewma"))
+    return Q.ewma(ev, ["user_id"], "at", ["value"], 12).select("event_id", F.round("value", 6).alias("ewma"))
 
 
 @query(
@@ -118,13 +118,8 @@ def economy_features(t: Tables) -> DataFrame:
     outside = Q.diff(Q.rolling_mean(Q.outer_align([quantity_series(t), returned_series(t)], "d"), "d", ["e1", "e2"], 6), "d", ["e1", "e2"])
     target = Q.diff(order_series(t), "d", ["t"])
     joined = Q.inner_align([target, outside], "d").na.drop()
-    for c in ("t", "e1", "e2"):
-        joined = Q.ewma_by_key(joined, [], "d", c, 12, out=c)
-    delayed = joined
-    for c in ("e1", "e2"):
-        line = Q.delay_line(joined, "d", c, LAGS).drop(c)
-        delayed = delayed.join(line, "d")
-    return delayed
+    smooth = Q.ewma(joined, [], "d", ["t", "e1", "e2"], 12)
+    return Q.delay_line(smooth, "d", ["e1", "e2"], LAGS)
 
 
 ECON_COLS = ["t", "e1", "e2", *[f"{c}_lag{k}" for c in ("e1", "e2") for k in LAGS]]

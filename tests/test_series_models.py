@@ -25,16 +25,16 @@ def test_ewma_equals_pandas(spark, n, block):
     x = rng.normal(size=n)
     rows = [("hot", i, float(v)) for i, v in enumerate(x)] + [("b", i, float(v)) for i, v in enumerate(x[:3])]
     df = spark.createDataFrame(rows, "k string, t long, x double")
-    out = Q.ewma_by_key(df, ["k"], "t", "x", 12, block=block).toPandas()
+    out = Q.ewma(df, ["k"], "t", ["x"], 12, block=block).toPandas()
     for k, part in out.groupby("k"):
-        got = part.sort_values("t")["ewma"].to_numpy()
+        got = part.sort_values("t")["x"].to_numpy()
         want = pd.Series(x[: len(got)]).ewm(span=12, adjust=True).mean().to_numpy()
         assert np.allclose(got, want, atol=1e-12)
 
 
 def test_delay_line_shorter_than_the_largest_lag(spark):
     df = spark.createDataFrame(list(zip(days(3), [1.0, 2.0, 3.0])), "d date, x double")
-    out = Q.delay_line(df, "d", "x", [1, 25]).orderBy("d").collect()
+    out = Q.delay_line(df, "d", ["x"], [1, 25]).orderBy("d").collect()
     assert [(r["x_lag1"], r["x_lag25"]) for r in out] == [(0.0, 0.0), (1.0, 0.0), (2.0, 0.0)]
 
 

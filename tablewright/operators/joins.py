@@ -24,17 +24,20 @@ def left_join_default(df: DataFrame, factor: DataFrame, key: str, col: str, defa
     return left_join(df, factor, key, [col]).withColumn(col, F.coalesce(F.col(col), F.lit(default)))
 
 
-def semi_join_on_values(train: DataFrame, test: DataFrame, cols: Sequence[str], row_id: Sequence[str]) -> DataFrame:
+def semi_join_on_values(train: DataFrame, test: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Training rows that share a value with the test rows in any of the columns.
 
     Nulls in the test column count as 0; a null training key never matches.
+    Each column looks only at rows that no earlier one took, so every row
+    comes out once without a deduplicating shuffle.
     """
-    hits = None
+    rest, hits = train, None
     for c in cols:
         values = test.select(F.coalesce(F.col(c), F.lit(0)).alias(c)).distinct()
-        part = train.join(values, c, "left_semi").select(*train.columns)
+        part = rest.join(values, c, "left_semi").select(*train.columns)
         hits = part if hits is None else hits.unionByName(part)
-    return hits if len(cols) == 1 else hits.dropDuplicates(list(row_id))
+        rest = rest.join(values, c, "left_anti").select(*train.columns)
+    return hits
 
 
 def column_bind(blocks: Sequence[DataFrame], row_id: str) -> DataFrame:

@@ -204,7 +204,7 @@ def semi_join(t: Tables) -> DataFrame:
     open_orders = t.orders.where(F.col("o_orderstatus") == "P").select("o_custkey", "o_orderkey")
     test = wanted.unionByName(open_orders.withColumn("o_custkey", F.lit(None).cast("bigint")))
     train = t.orders.select("o_orderkey", "o_custkey")
-    return joins.semi_join_on_values(train, test, ["o_custkey", "o_orderkey"], ["o_orderkey"])
+    return joins.semi_join_on_values(train, test, ["o_custkey", "o_orderkey"])
 
 
 @query(

@@ -55,7 +55,14 @@ def test_pair_dispersion_uses_common_dates(spark):
 def test_semi_join_null_rules(spark):
     train = spark.createDataFrame([(1, 0), (2, None), (3, 7), (4, 8)], "id long, k int")
     test = spark.createDataFrame([(None,), (7,)], "k int")
-    assert {r["id"] for r in joins.semi_join_on_values(train, test, ["k"], ["id"]).collect()} == {1, 3}
+    assert {r["id"] for r in joins.semi_join_on_values(train, test, ["k"]).collect()} == {1, 3}
+
+
+def test_semi_join_on_several_columns_gives_each_row_once(spark):
+    train = spark.createDataFrame([(1, 5, 9), (2, 5, 0), (3, 1, 9), (4, None, 9), (5, 1, 1)], "id long, a int, b int")
+    test = spark.createDataFrame([(5, 9)], "a int, b int")
+    got = sorted(r["id"] for r in joins.semi_join_on_values(train, test, ["a", "b"]).collect())
+    assert got == [1, 2, 3, 4]
 
 
 def test_mixup_without_negatives_is_empty(spark):

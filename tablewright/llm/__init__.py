@@ -2,8 +2,11 @@
 
 from tablewright.llm import (  # noqa: F401
     bpe,
+    exactdedup,
     mixing,
     rules,
+    sharding,
+    simhash,
     urlfilter,
 )
 from tablewright.llm.registry import ORACLES, QUERIES

@@ -39,9 +39,10 @@ def whole(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit(""))
 
 
-def row_key(text: Column) -> Column:
-    """Strong digest that tells apart the texts of rows with the same id."""
-    return F.sha2(whole(text).cast("binary"), 256)
+def row_key(doc_id: Column, text: Column) -> Column:
+    """Strong digest of id and whole text: rows that share it are one row repeated."""
+    named = F.coalesce(doc_id.cast("string"), F.lit(""))
+    return F.sha2(F.concat_ws("|", named, whole(text)).cast("binary"), 256)
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:

@@ -3,7 +3,10 @@
 from tablewright.llm import (  # noqa: F401
     bpe,
     exactdedup,
+    license,
+    linededup,
     mixing,
+    quality_model,
     rules,
     sharding,
     simhash,

@@ -156,7 +156,11 @@ def near_links(points: DataFrame, radius: int, fp: str = "fp", size: int = TILE)
         .distinct()
     )
     x, y = (packed.select(F.col("tile").alias(f"{s}_tile"), F.col("fps").alias(f"{s}_fps")) for s in "lr")
-    work = pairs.join(x, "l_tile").join(y, "r_tile").select("l_tile", "r_tile", "l_fps", "r_fps")
+    return compare_tiles(pairs.join(x, "l_tile").join(y, "r_tile"), radius)
+
+
+def compare_tiles(work: DataFrame, radius: int) -> DataFrame:
+    """(a, b) links found in pairs of packed tiles (l_tile, r_tile, l_fps, r_fps)."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,4 +170,4 @@ def near_links(points: DataFrame, radius: int, fp: str = "fp", size: int = TILE)
                 a, b = map(list, zip(*found)) if found else ([], [])
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return work.mapInArrow(compare, "a bigint, b bigint")
+    return work.select("l_tile", "r_tile", "l_fps", "r_fps").mapInArrow(compare, "a bigint, b bigint")

@@ -12,8 +12,9 @@ of their id; everything else covers all rows.
 
 Defined results: a null text counts as empty; its statistics are 0 and it is
 scored like any other. Several labels of one id count as their mean, rounded
-to the nearer class, ties as 1; null labels do not count. Without both classes
-the score is the share of class 1 (0.5 without any label). A null id counts as
+to the nearer class, ties as 1; null labels do not count. Without both classes,
+or any split between them, the score is the share of class 1 (0.5 without any
+label). A null id counts as
 the empty text. Labels, lang, source and doc_id never enter a score.
 """
 
@@ -125,15 +126,18 @@ class Ensemble:
 def fit(rows: DataFrame, names: list[str], settings: Settings = Settings()) -> Ensemble:
     """Ensemble for ``rows`` (statistics, label 0.0 or 1.0)."""
     n, ones = rows.agg(F.count(F.lit(1)), F.sum("label")).first()
+    rate = 0.5 if not n else min(max(ones / n, 1e-6), 1 - 1e-6)
+    prior = Ensemble(math.log(rate / (1 - rate)), ())
     if not n or ones in (0, n):
-        rate = 0.5 if not n else min(max(ones / n, 1e-6), 1 - 1e-6)
-        return Ensemble(math.log(rate / (1 - rate)), ())
+        return prior
     data = VectorAssembler(inputCols=names, outputCol="x").transform(rows)
     forest = RandomForestClassifier(
         featuresCol="x", labelCol="label", numTrees=settings.trees, maxDepth=settings.depth, seed=settings.seed,
         minInstancesPerNode=5,
     ).fit(data)
     rules = tree_rules(forest, names)
+    if not rules:
+        return prior
     fired = rows.select("label", *[F.when(holds(r), 1.0).otherwise(0.0).alias(f"r{i}") for i, r in enumerate(rules)])
     fired = staged(fired, "fired")
     data = VectorAssembler(inputCols=[f"r{i}" for i in range(len(rules))], outputCol="x").transform(fired)

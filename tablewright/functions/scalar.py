@@ -9,12 +9,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-LCG_A, LCG_C, LCG_M = 1103515245, 12345, 2147483648
-
-
-def lcg(key: Column) -> Column:
-    """Reproducible draw in [0, 1) from an integer key."""
-    return F.pmod(key.cast("bigint") * F.lit(LCG_A) + F.lit(LCG_C), F.lit(LCG_M)) / F.lit(float(LCG_M))
+def draw(purpose: str, *keys: Column | int) -> Column:
+    """Reproducible draw in [0, 1), independent for every purpose and every key.
+
+    48 bits of md5(purpose|key|...): SQL engines have the same function.
+    """
+    parts = [F.lit(purpose), *[(k if isinstance(k, Column) else F.lit(k)).cast("string") for k in keys]]
+    digits = F.substring(F.md5(F.concat_ws("|", *parts)), 1, 12)
+    return F.conv(digits, 16, 10).cast("bigint") / F.lit(float(1 << 48))
 
 
 def prefix_code(name: Column, legacy: bool = True) -> Column:

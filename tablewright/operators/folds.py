@@ -7,14 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.functions.scalar import lcg
+from tablewright.functions.scalar import draw
 from tablewright.operators.lookup import lookup
 from tablewright.operators.ranking import positioned
 
 
 def _order(row_id: str, seed: int | None) -> list[Column]:
     """By row id, or by a seeded draw with the row id on ties."""
-    return [F.col(row_id)] if seed is None else [lcg(F.col(row_id) + seed), F.col(row_id)]
+    return [F.col(row_id)] if seed is None else [draw("fold", seed, F.col(row_id)), F.col(row_id)]
 
 
 def _segments(df: DataFrame, row_id: str, seed: int | None, starts: Sequence[int], out: str) -> DataFrame:
@@ -45,9 +45,14 @@ def kfold(df: DataFrame, row_id: str, k: int, shuffle: bool = False, seed: int =
 
 
 def _within_class(df: DataFrame, row_id: str, label: str, seed: int | None) -> DataFrame:
-    placed = positioned(df, [F.col(label), *_order(row_id, seed)], pos="_p")
+    """Rows with their place in their class; only ids and labels are ordered and written."""
+    placed = positioned(df.select(row_id, label), [F.col(label), *_order(row_id, seed)], pos="_p")
     spans = placed.groupBy(label).agg(F.min("_p").alias("_lo"), F.count(F.lit(1)).alias("_n"))
-    return lookup(placed, spans, label, "inner").withColumn("_p", F.col("_p") - F.col("_lo")).drop("_lo")
+    same = placed[label].eqNullSafe(spans[label])
+    placed = lookup(placed, spans, same, "inner").select(
+        F.col(row_id).alias("_id"), (F.col("_p") - F.col("_lo")).alias("_p"), "_n"
+    )
+    return df.join(placed, df[row_id] == F.col("_id")).drop("_id")
 
 
 def stratified(df: DataFrame, row_id: str, label: str, k: int, seed: int | None = None, out: str = "fold") -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.functions import arrays as A
-from tablewright.functions.scalar import lcg
+from tablewright.functions.scalar import draw
 
 
 def _window(arr: Column, width: int, top: Column, left: Column, ph: int, pw: int) -> Column:
@@ -34,26 +34,36 @@ def grid_patches(
 
 def random_patches(
     df: DataFrame, key: str, arr: str, shape: tuple[int, int], patch: tuple[int, int], n: int, min_std: float,
-    tries: int = 4, seed: int = 1,
+    seed: int = 1,
 ) -> DataFrame:
-    """The first n of tries*n drawn patches whose std is over the threshold, per page."""
-    a = F.col(arr)
+    """n patches whose std is over the threshold, from every page that has any.
 
-    def draw(j: Column) -> Column:
-        base = F.col(key) * 7919 + j * 2 + seed
-        top = F.floor(lcg(base) * (shape[0] - patch[0])).cast("int")
-        left = F.floor(lcg(base + 1) * (shape[1] - patch[1])).cast("int")
-        return A.let(
-            F.struct(top.alias("top"), left.alias("left")),
+    All positions of the page are put in a drawn order; the first n that pass
+    are taken, over again from the first if there are fewer.
+    """
+    a = F.col(arr)
+    places = F.array(
+        *[F.struct(F.lit(r).alias("top"), F.lit(c).alias("left"))
+          for r in range(shape[0] - patch[0]) for c in range(shape[1] - patch[1])]
+    )
+    order = F.sort_array(
+        F.transform(
+            places,
             lambda s: F.struct(
-                j.alias("draw"), s["top"].alias("top"), s["left"].alias("left"),
-                _window(a, shape[1], s["top"], s["left"], *patch).alias("patch"),
+                draw("patch", seed, F.col(key), s["top"], s["left"]).alias("u"), s["top"].alias("top"),
+                s["left"].alias("left"), _window(a, shape[1], s["top"], s["left"], *patch).alias("patch"),
             ),
         )
-
-    drawn = F.transform(F.sequence(F.lit(0), F.lit(tries * n - 1)), draw)
-    kept = F.slice(F.filter(drawn, lambda s: A.mean_std(s["patch"])["sd"] > min_std), 1, n)
-    return df.select(key, F.explode(kept).alias("_p")).select(key, "_p.*")
+    )
+    kept = F.filter(order, lambda s: A.mean_std(s["patch"])["sd"] > min_std)
+    taken = A.let(
+        kept,
+        lambda k: F.when(
+            F.size(k) > 0,
+            F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.get(k, (i % F.size(k)).cast("int"))),
+        ),
+    )
+    return df.select(key, F.posexplode(taken).alias("draw", "_p")).select(key, "draw", "_p.top", "_p.left", "_p.patch")
 
 
 def crop_extent(arr: Column, shape: tuple[int, int], threshold: float, margin: int) -> Column:
@@ -168,7 +178,7 @@ def noise(arr: Column, key: Column, sigma: float = 0.1) -> Column:
     """Add normal noise from seeded draws and clip to [0, 1]."""
 
     def cell(x: Column, i: Column) -> Column:
-        u1, u2 = lcg(key * 8192 + i * 2), lcg(key * 8192 + i * 2 + 1)
+        u1, u2 = draw("noise radius", key, i), draw("noise angle", key, i)
         z = F.sqrt(F.lit(-2.0) * F.log(u1 + F.lit(1.0 / 4294967296.0))) * F.cos(u2 * (2 * math.pi))
         return F.greatest(F.lit(0.0), F.least(F.lit(1.0), x + F.lit(sigma) * z))
 
@@ -177,6 +187,8 @@ def noise(arr: Column, key: Column, sigma: float = 0.1) -> Column:
 
 def _bilinear(pages: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
     n, h, w = pages.shape
+    # outside the page there is nothing; within half a cell of its edge the edge cell holds
+    inside = (rows >= -0.5) & (rows < h - 0.5) & (cols >= -0.5) & (cols < w - 0.5)
     rows, cols = np.clip(rows, 0, h - 1), np.clip(cols, 0, w - 1)
     r0, c0 = np.floor(rows).astype(int), np.floor(cols).astype(int)
     r1, c1 = np.minimum(r0 + 1, h - 1), np.minimum(c0 + 1, w - 1)
@@ -184,13 +196,19 @@ def _bilinear(pages: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarr
     k = np.arange(n)[:, None, None]
     top = pages[k, r0, c0] * (1 - fc) + pages[k, r0, c1] * fc
     low = pages[k, r1, c0] * (1 - fc) + pages[k, r1, c1] * fc
-    return top * (1 - fr) + low * fr
+    return np.where(inside, top * (1 - fr) + low * fr, 0.0)
+
+
+WARPS = ["angle", "shear_h", "shear_v", "top", "bottom", "left", "right", "azimuth", "elevation", "depth"]
 
 
 def warp(df: DataFrame, key: str, arr: str, side: int) -> DataFrame:
-    """Apply per-row rotation (degrees), shears, zoom (cells) and an emboss amount to square pages.
+    """Apply rotation (degrees), shears and cut edges (cells) per row to square pages, or light them from one side.
 
-    ``df`` carries the parameters in columns angle, shear_h, shear_v, zoom, emboss.
+    ``df`` carries the parameters in the columns WARPS. A shear of 1 moves each
+    line by one cell more than the one before, about the middle. Cells from
+    outside the page are 0. Where ``depth`` is not 0, the page is a height map
+    of values in [0, 1], lit from ``azimuth`` and ``elevation`` (degrees).
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -202,42 +220,49 @@ def warp(df: DataFrame, key: str, arr: str, side: int) -> DataFrame:
             pages = np.stack(pdf[arr].to_numpy()).reshape(-1, side, side).astype("float64")
             col = lambda c: pdf[c].to_numpy(dtype="float64")[:, None, None]
             a = np.radians(col("angle"))
-            s = (side - 2 * col("zoom")) / side
-            rows = s * (np.cos(a) * rr + np.sin(a) * cc) + col("shear_v") * cc / side
-            cols = s * (-np.sin(a) * rr + np.cos(a) * cc) + col("shear_h") * rr / side
+            rows = np.cos(a) * rr + np.sin(a) * cc + col("shear_v") * cc
+            cols = -np.sin(a) * rr + np.cos(a) * cc + col("shear_h") * rr
+            high, wide = (side - col("top") - col("bottom")) / side, (side - col("left") - col("right")) / side
+            rows = rows * high + (col("top") - col("bottom")) / 2
+            cols = cols * wide + (col("left") - col("right")) / 2
             out = _bilinear(pages, rows + mid, cols + mid)
-            lit = np.pad(out, ((0, 0), (1, 1), (1, 1)), mode="edge")
-            relief = lit[:, 2:, 2:] - lit[:, :-2, :-2]
-            out = out + col("emboss") * relief
+            slope = col("depth") * 255 / 100
+            down, right = np.gradient(out, axis=1) * slope, np.gradient(out, axis=2) * slope
+            e, z = np.radians(col("elevation")), np.radians(col("azimuth"))
+            light = np.cos(e) * np.cos(z) * down + np.cos(e) * np.sin(z) * right + np.sin(e)
+            lit = np.clip(light / np.sqrt(down**2 + right**2 + 1), 0, 1)
+            out = np.where(col("depth") != 0, lit, out)
             yield pd.DataFrame(
                 {key: pdf[key], "variant": pdf["variant"], arr: list(out.reshape(len(pdf), -1))}
             )
 
-    return df.select(key, "variant", arr, "angle", "shear_h", "shear_v", "zoom", "emboss").mapInPandas(
+    return df.select(key, "variant", arr, *WARPS).mapInPandas(
         run, f"{key} bigint, variant string, {arr} array<double>"
     )
 
 
-# Largest rotation in degrees, shear, zoom in cells.
-MAX_ANGLE, MAX_SHEAR, MAX_ZOOM = 40.0, 1.0, 4.0
+# Largest rotation and azimuth in degrees, shear, cells cut per edge, elevation in degrees, depth.
+MAX_ANGLE, MAX_SHEAR, MAX_CUT, MAX_ELEVATION, DEPTH = 40, 1.0, 4, 60, 2.0
 
 
 def augment_affine(df: DataFrame, key: str, arr: str, side: int, seed: int = 1) -> DataFrame:
-    """Rotated, sheared, zoomed and embossed copies with parameters drawn per row and variant."""
-    names = ["rotate", "shear_h", "shear_v", "zoom", "emboss"]
-    many = df.select(key, arr, F.posexplode(F.array(*map(F.lit, names))).alias("_k", "variant"))
-    u = lcg(F.col(key) * 64 + F.col("_k") + seed)
-    only = lambda name, value: F.when(F.col("variant") == name, value).otherwise(F.lit(0.0))
-    params = many.withColumns(
-        {
-            "angle": only("rotate", (u * 2 - 1) * MAX_ANGLE),
-            "shear_h": only("shear_h", (u * 2 - 1) * MAX_SHEAR),
-            "shear_v": only("shear_v", (u * 2 - 1) * MAX_SHEAR),
-            "zoom": only("zoom", F.least(u * MAX_ZOOM, F.lit(side / 4.0))),
-            "emboss": only("emboss", F.lit(1.0)),
-        }
-    )
-    return warp(params, key, arr, side)
+    """Rotated, sheared, cut and lit copies of pages scaled to [0, 1], with parameters drawn per row and variant."""
+    names = ["rotate", "shear_h", "shear_v", "cut", "emboss"]
+    scaled = df.select(key, A.minmax_row(F.col(arr)).alias(arr))
+    many = scaled.select(key, arr, F.explode(F.array(*map(F.lit, names))).alias("variant"))
+    u = lambda what: draw(what, seed, F.col(key), F.col("variant"))
+    whole = lambda what, lo, hi: F.floor(u(what) * (hi - lo + 1)) + lo
+    only = lambda name, value: F.when(F.col("variant") == name, value.cast("double")).otherwise(F.lit(0.0))
+    params = {
+        "angle": only("rotate", whole("angle", -MAX_ANGLE, MAX_ANGLE)),
+        "shear_h": only("shear_h", (u("shear") * 2 - 1) * MAX_SHEAR),
+        "shear_v": only("shear_v", (u("shear") * 2 - 1) * MAX_SHEAR),
+        **{edge: only("cut", whole(edge, 0, MAX_CUT)) for edge in ("top", "bottom", "left", "right")},
+        "azimuth": only("emboss", whole("azimuth", -MAX_ANGLE, MAX_ANGLE)),
+        "elevation": only("emboss", whole("elevation", 0, MAX_ELEVATION)),
+        "depth": only("emboss", F.lit(DEPTH)),
+    }
+    return warp(many.withColumns(params), key, arr, side)
 
 
 # ---- decision tree votes

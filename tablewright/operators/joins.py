@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.functions.scalar import lcg
+from tablewright.functions.scalar import draw
 from tablewright.operators.ranking import positioned, ring_next
 
 
@@ -28,16 +28,16 @@ def semi_join_on_values(train: DataFrame, test: DataFrame, cols: Sequence[str])
     """Training rows that share a value with the test rows in any of the columns.
 
     Nulls in the test column count as 0; a null training key never matches.
-    Each column looks only at rows that no earlier one took, so every row
-    comes out once without a deduplicating shuffle.
+    Rows are read once and marked per column by a join with its distinct
+    values, so every row comes out once.
     """
-    rest, hits = train, None
-    for c in cols:
-        values = test.select(F.coalesce(F.col(c), F.lit(0)).alias(c)).distinct()
-        part = rest.join(values, c, "left_semi").select(*train.columns)
-        hits = part if hits is None else hits.unionByName(part)
-        rest = rest.join(values, c, "left_anti").select(*train.columns)
-    return hits
+    rows = train.select(F.struct("*").alias("_row"), *[F.col(c).alias(f"_c{i}") for i, c in enumerate(cols)])
+    hit = F.lit(False)
+    for i, c in enumerate(cols):
+        values = test.select(F.coalesce(F.col(c), F.lit(0)).alias(f"_c{i}")).distinct().withColumn(f"_hit{i}", F.lit(True))
+        rows = rows.join(values, f"_c{i}", "left")
+        hit = hit | F.coalesce(f"_hit{i}", F.lit(False))
+    return rows.where(hit).select("_row.*")
 
 
 def column_bind(blocks: Sequence[DataFrame], row_id: str) -> DataFrame:
@@ -72,14 +72,14 @@ def convex_combinations(df: DataFrame, group: Sequence[str], row_id: str, vec: s
     all ordered pairs; larger groups stay linear.
     """
     both = ring_next(df, group, row_id, [vec]).withColumn("kk", F.explode(F.sequence(F.lit(1), F.lit(k))))
-    seed = F.col(row_id) * 1000 + F.col("kk")
+    pair = F.col(row_id), F.col(f"{row_id}_b"), F.col("kk")
     drawn = both.select(
         row_id,
         F.col(f"{row_id}_b"),
         "kk",
-        lcg(seed).alias("_a"),
-        (F.lit(1.0) + (lcg(seed + 7919) - 0.5) / 5).alias("_ra"),
-        (F.lit(1.0) + (lcg(seed + 104729) - 0.5) / 5).alias("_rb"),
+        draw("convex", *pair).alias("_a"),
+        (F.lit(1.0) + (draw("scale a", *pair) - 0.5) / 5).alias("_ra"),
+        (F.lit(1.0) + (draw("scale b", *pair) - 0.5) / 5).alias("_rb"),
         F.col(vec).alias("_va"),
         F.col(f"{vec}_b").alias("_vb"),
     )
@@ -103,9 +103,9 @@ def mixup(df: DataFrame, positive: Column, negative: Column, row_id: str, vec: s
         return df.select(F.col(row_id).alias("src"), F.col(row_id).alias("neg"), F.lit(0).alias("seq"), vec).limit(0)
     draws = df.sparkSession.range(n).select(
         F.col("id").alias("seq"),
-        F.floor(lcg(F.col("id") * 3 + seed) * n_pos).alias("_ip"),
-        F.floor(lcg(F.col("id") * 3 + seed + 1) * n_neg).alias("_in"),
-        lcg(F.col("id") * 3 + seed + 2).alias("_u"),
+        F.floor(draw("positive", seed, F.col("id")) * n_pos).alias("_ip"),
+        F.floor(draw("negative", seed, F.col("id")) * n_neg).alias("_in"),
+        draw("share", seed, F.col("id")).alias("_u"),
     )
     left = pos.select("_ip", F.col(row_id).alias("src"), F.col(vec).alias("_vp"))
     right = neg.select("_in", F.col(row_id).alias("neg"), F.col(vec).alias("_vn"))

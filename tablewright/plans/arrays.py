@@ -11,8 +11,7 @@ from tablewright.operators.clean import fit_standardise
 from tablewright.operators.signals import spectral_features
 from tablewright.plans.fixtures import SQL_CELLS, SQL_VOTES, long_cells, vectors, votes
 from tablewright.plans.registry import Tables, query
-from tablewright.plans.relational import sql_lcg
-from tablewright.session import spread
+from tablewright.plans.relational import sql_draw
 
 SQL_MOM = """avg(x) AS m, stddev_pop(x) AS s, (avg(x*x*x) - 3*avg(x)*avg(x*x) + 2*pow(avg(x), 3)) / pow(var_pop(x), 1.5::DOUBLE) AS sk,
  kurtosis_pop(x) AS ku"""
@@ -190,12 +189,12 @@ def grid_patches(t: Tables) -> DataFrame:
 
 @query(
     "random_patches",
-    f"""WITH {SQL_CELLS}, d AS (SELECT vec_id, j::INT AS draw, floor({sql_lcg('vec_id * 7919 + j * 2 + 1')} * 5)::INT AS top,
-  floor({sql_lcg('vec_id * 7919 + j * 2 + 2')} * 5)::INT AS lft FROM embeddings, range(0, 12) r(j)),
- s AS (SELECT d.vec_id, draw, top, lft, stddev_pop(x) AS sd, avg(x) AS m FROM d JOIN cells c ON d.vec_id = c.vec_id
+    f"""WITH {SQL_CELLS}, d AS (SELECT vec_id, top::INT AS top, lft::INT AS lft, {sql_draw('patch', '1', 'vec_id', 'top', 'lft')} AS u
+  FROM embeddings, range(0, 5) r(top), range(0, 5) c(lft)),
+ s AS (SELECT d.vec_id, u, top, lft, stddev_pop(x) AS sd, avg(x) AS m FROM d JOIN cells c ON d.vec_id = c.vec_id
   AND c.i // 8 >= top AND c.i // 8 < top + 3 AND c.i % 8 >= lft AND c.i % 8 < lft + 3 GROUP BY 1, 2, 3, 4),
- k AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY draw) AS r FROM s WHERE sd > 0.1)
- SELECT vec_id, draw, top, lft AS "left", round(m, 6) AS mean FROM k WHERE r <= 3""",
+ k AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY u, top, lft) - 1 AS r, count(*) OVER (PARTITION BY vec_id) AS n FROM s WHERE sd > 0.1)
+ SELECT vec_id, draw::INT AS draw, top, lft AS "left", round(m, 6) AS mean FROM k JOIN range(0, 3) z(draw) ON r = draw % n""",
 )
 def random_patches(t: Tables) -> DataFrame:
     p = I.random_patches(vectors(t), "vec_id", "v", (8, 8), (3, 3), n=3, min_std=0.1)
@@ -234,7 +233,7 @@ def channel_offsets(t: Tables) -> DataFrame:
     return long_cells(vectors(t), I.channel_offsets(F.col("v"), 4), "vec_id")
 
 
-RINGS = (2, 3)
+RINGS = I.RADII
 
 
 def _sql_profile() -> str:
@@ -259,7 +258,7 @@ def _sql_profile() -> str:
 @query("profile_features", _sql_profile())
 def profile_features(t: Tables) -> DataFrame:
     """Section, square and ring numbers; the peak counts have a query of their own."""
-    cells = long_cells(spread(vectors(t), "vec_id"), I.profile_vector(F.col("v"), 8, 8, RINGS), "vec_id", digits=5)
+    cells = long_cells(vectors(t), I.profile_vector(F.col("v"), 8, 8, RINGS), "vec_id", digits=5)
     return cells.where(F.col("i") < 48 + 4 * len(RINGS))
 
 
@@ -278,16 +277,17 @@ def peak_trough(t: Tables) -> DataFrame:
 
 @query(
     "augment_noise",
-    f"""WITH {SQL_CELLS}, u AS (SELECT vec_id, i, x, {sql_lcg('vec_id * 8192 + i * 2')} AS u1, {sql_lcg('vec_id * 8192 + i * 2 + 1')} AS u2 FROM cells)
+    f"""WITH {SQL_CELLS}, u AS (SELECT vec_id, i, x, {sql_draw('noise radius', 'vec_id', 'i')} AS u1, {sql_draw('noise angle', 'vec_id', 'i')} AS u2 FROM
+  (SELECT vec_id, i, (x - min(x) OVER v) / (max(x) OVER v - min(x) OVER v) AS x FROM cells WINDOW v AS (PARTITION BY vec_id)))
  SELECT vec_id, i, round(greatest(0, least(1, x + 0.1::DOUBLE * sqrt(-2 * ln(u1 + 1 / 4294967296.0::DOUBLE)) * cos(u2 * 2 * pi()))), 6) AS x FROM u""",
 )
 def augment_noise(t: Tables) -> DataFrame:
-    return long_cells(vectors(t), I.noise(F.col("v"), F.col("vec_id")), "vec_id")
+    return long_cells(vectors(t), I.noise(A.minmax_row(F.col("v")), F.col("vec_id")), "vec_id")
 
 
 @query("augment_affine")
 def augment_affine(t: Tables) -> DataFrame:
-    return I.augment_affine(spread(vectors(t), "vec_id"), "vec_id", "v", 8)
+    return I.augment_affine(vectors(t), "vec_id", "v", 8)
 
 
 SHARES = "v / nullif(sum(v) OVER (PARTITION BY vec_id, g), 0)"
@@ -322,5 +322,5 @@ def odd_votes(t: Tables) -> DataFrame:
 @query("spectral_shape")
 def spectral_shape(t: Tables) -> DataFrame:
     """Each vector as a short signal: frames of 16 every 8."""
-    signals = spread(vectors(t), "vec_id").select("vec_id", A.standardise_row(F.col("v")).alias("signal"))
+    signals = vectors(t).select("vec_id", A.standardise_row(F.col("v")).alias("signal"))
     return spectral_features(signals, "vec_id", "signal", 16, 8, rate=2000.0, bands=8, mfcc=6)

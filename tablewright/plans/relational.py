@@ -258,11 +258,12 @@ def same_group_pair_stats(t: Tables) -> DataFrame:
     )
 
 
-_LCG = "(((({k})::BIGINT * 1103515245 + 12345) % 2147483648) / 2147483648.0::DOUBLE)"
 
 
-def sql_lcg(k: str) -> str:
-    return _LCG.format(k=k)
+def sql_draw(purpose: str, *keys: str) -> str:
+    """The same draw as ``functions.scalar.draw``."""
+    text = " || '|' || ".join([f"'{purpose}'", *[f"({k})::VARCHAR" for k in keys]])
+    return f"(('0x' || substr(md5({text}), 1, 12))::BIGINT / {float(1 << 48)}::DOUBLE)"
 
 
 @query(
@@ -270,8 +271,8 @@ def sql_lcg(k: str) -> str:
     f"""WITH o AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS r, count(*) OVER (PARTITION BY label) AS n FROM embeddings),
  p AS (SELECT a.vec_id, b.vec_id AS vec_id_b, unnest(range(1, 4))::INT AS kk, a.embedding AS va, b.embedding AS vb
   FROM o a JOIN o b ON a.label = b.label AND b.r = a.r % a.n + 1 WHERE a.n > 1),
- d AS (SELECT *, {sql_lcg('vec_id * 1000 + kk')} AS a, 1 + ({sql_lcg('vec_id * 1000 + kk + 7919')} - 0.5::DOUBLE) / 5 AS ra,
-  1 + ({sql_lcg('vec_id * 1000 + kk + 104729')} - 0.5::DOUBLE) / 5 AS rb FROM p),
+ d AS (SELECT *, {sql_draw('convex', 'vec_id', 'vec_id_b', 'kk')} AS a, 1 + ({sql_draw('scale a', 'vec_id', 'vec_id_b', 'kk')} - 0.5::DOUBLE) / 5 AS ra,
+  1 + ({sql_draw('scale b', 'vec_id', 'vec_id_b', 'kk')} - 0.5::DOUBLE) / 5 AS rb FROM p),
  e AS (SELECT *, unnest(range(0, 64))::INT AS i, unnest(va)::DOUBLE AS x, unnest(vb)::DOUBLE AS y FROM d)
  SELECT vec_id, vec_id_b, kk, i, round(CASE WHEN a > 0.5 THEN a * ra * x + (1 - a) * rb * y ELSE ra * x END, 6) AS x FROM e""",
 )
@@ -284,8 +285,8 @@ def convex_pairs(t: Tables) -> DataFrame:
     "mixup",
     f"""WITH pos AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS k, * FROM embeddings WHERE label = 1),
  neg AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS k, * FROM embeddings WHERE label <> 1),
- d AS (SELECT s AS seq, floor({sql_lcg('s * 3 + 1')} * (SELECT count(*) FROM pos))::BIGINT AS ip,
-  floor({sql_lcg('s * 3 + 2')} * (SELECT count(*) FROM neg))::BIGINT AS jn, {sql_lcg('s * 3 + 3')} AS u
+ d AS (SELECT s AS seq, floor({sql_draw('positive', '1', 's')} * (SELECT count(*) FROM pos))::BIGINT AS ip,
+  floor({sql_draw('negative', '1', 's')} * (SELECT count(*) FROM neg))::BIGINT AS jn, {sql_draw('share', '1', 's')} AS u
   FROM range(0, (SELECT 2 * count(*) FROM pos)::BIGINT) r(s)),
  j AS (SELECT seq, pos.vec_id AS src, neg.vec_id AS neg, u, pos.embedding AS a, neg.embedding AS b
   FROM d JOIN pos ON pos.k = ip JOIN neg ON neg.k = jn),
@@ -448,25 +449,32 @@ def histogram_bins(t: Tables) -> DataFrame:
 def collect_vector(t: Tables) -> DataFrame:
     """Turn lengths of a conversation as one vector of fixed width.
 
-    One partial sum per position, so a hot conversation folds before the shuffle.
+    One sum per position, so a hot conversation folds before its positions meet.
     """
     talk = t.conversations.select("conv_id", "turn", F.length("text").cast("bigint").alias("n"))
     width = talk.agg(F.max("turn")).first()[0] + 1
-    if width > 1000:
-        raise ValueError(f"vector width {width} is too large for one row per group")
-    cells = [F.coalesce(F.sum(F.when(F.col("turn") == i, F.col("n"))), F.lit(0)).cast("string") for i in range(width)]
-    return talk.groupBy("conv_id").agg(F.concat_ws(",", *cells).alias("lengths"))
+    sums = talk.groupBy("conv_id", "turn").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    by_place = sums.groupBy("conv_id").agg(F.map_from_entries(F.collect_list(F.struct("turn", "n"))).alias("at"))
+    cells = F.transform(
+        F.sequence(F.lit(0), F.lit(width - 1)),
+        lambda i: F.coalesce(F.try_element_at("at", i.cast(talk.schema["turn"].dataType)), F.lit(0)).cast("string"),
+    )
+    return by_place.select("conv_id", F.array_join(cells, ",").alias("lengths"))
 
 
 @query(
     "pivot_wide",
     """SELECT o_orderdate::DATE AS d, round(avg(ln(o_totalprice)) FILTER (o_orderpriority = '1-URGENT'), 4) AS urgent,
- round(avg(ln(o_totalprice)) FILTER (o_orderpriority = '2-HIGH'), 4) AS high, round(avg(ln(o_totalprice)) FILTER (o_orderpriority = '5-LOW'), 4) AS low
+ round(avg(ln(o_totalprice)) FILTER (o_orderpriority = '2-HIGH'), 4) AS high,
+ round(avg(ln(o_totalprice)) FILTER (o_orderpriority = '3-MEDIUM'), 4) AS medium,
+ round(avg(ln(o_totalprice)) FILTER (o_orderpriority = '4-NOT SPECIFIED'), 4) AS unspecified, round(avg(ln(o_totalprice)) FILTER (o_orderpriority = '5-LOW'), 4) AS low
  FROM orders GROUP BY 1""",
 )
 def pivot_wide(t: Tables) -> DataFrame:
     """One row per date, one column per station."""
-    names = {"1-URGENT": "urgent", "2-HIGH": "high", "5-LOW": "low"}
+    names = {
+        "1-URGENT": "urgent", "2-HIGH": "high", "3-MEDIUM": "medium", "4-NOT SPECIFIED": "unspecified", "5-LOW": "low"
+    }
     table = (
         t.orders.withColumn("d", F.to_date("o_orderdate"))
         .groupBy("d")

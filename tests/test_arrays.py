@@ -92,15 +92,61 @@ def test_profile_vector_has_86_numbers_less_colours(spark):
     assert all(v is not None for v in out)
 
 
+WARPED = "id long, variant string, v array<double>, " + ", ".join(f"{c} double" for c in I.WARPS)
+
+
+def test_shear_of_one_moves_a_line_one_cell_per_row(spark):
+    page = np.zeros((7, 7))
+    page[:, 3] = 1.0
+    df = spark.createDataFrame([(1, "h", page.ravel().tolist(), 0.0, 1.0, *[0.0] * 8)], WARPED)
+    got = np.array(I.warp(df, "id", "v", 7).first()["v"]).reshape(7, 7)
+    assert [int(np.argmax(r)) for r in got] == [6, 5, 4, 3, 2, 1, 0] and np.allclose(got.sum(1), 1)
+
+
+def test_cut_edges_are_independent(spark):
+    page = np.arange(64.0).reshape(8, 8)
+    df = spark.createDataFrame([(1, "c", page.ravel().tolist(), 0.0, 0.0, 0.0, 4.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0)], WARPED)
+    got = np.array(I.warp(df, "id", "v", 8).first()["v"]).reshape(8, 8)
+    assert np.allclose(got[:, 0], np.interp(4 + (np.arange(8) + 0.5) / 2 - 0.5, np.arange(8), page[:, 0]))
+
+
+def test_flat_page_is_lit_by_elevation_alone(spark):
+    df = spark.createDataFrame([(1, "e", [0.5] * 16, *[0.0] * 7, 20.0, 30.0, 2.0)], WARPED)
+    assert I.warp(df, "id", "v", 4).first()["v"] == pytest.approx([0.5] * 16)
+
+
+def test_draws_are_independent(spark):
+    df = spark.range(20_000).select(*[S.draw(p, F.col("id")).alias(p) for p in "ab"], S.draw("a", F.col("id") + 1).alias("next"))
+    x = df.toPandas()
+    for c in x:
+        assert abs(x[c].mean() - 0.5) < 0.01 and abs(x[c].var() - 1 / 12) < 0.003
+    assert abs(x.corr().to_numpy() - np.eye(3)).max() < 0.03
+
+
+def test_noise_is_normal(spark):
+    df = spark.range(200).select(I.noise(F.array_repeat(F.lit(0.5), 100), F.col("id"), 0.01).alias("v"))
+    z = (np.concatenate(df.toPandas()["v"].to_numpy()) - 0.5) / 0.01
+    assert abs(z.mean()) < 0.03 and abs(z.std() - 1) < 0.03 and abs((z**3).mean()) < 0.08 and z.max() > 3
+
+
+def test_every_page_gives_n_patches_from_all_offsets(spark):
+    rng = np.random.RandomState(3)
+    rows = [(i, rng.rand(64).tolist()) for i in range(60)] + [(99, [0.0] * 64), (98, [0.0] * 63 + [9.0])]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    out = I.random_patches(df, "id", "v", (8, 8), (3, 3), 3, 0.01).toPandas()
+    assert (out[out.id < 90].groupby("id").size() == 3).all() and 99 not in set(out.id)
+    assert len(set(zip(out.top, out.left))) == 25
+
+
 def test_warp_without_change_keeps_the_page(spark):
     page = np.arange(16.0).tolist()
-    df = spark.createDataFrame([(1, "none", page, 0.0, 0.0, 0.0, 0.0, 0.0)], "id long, variant string, v array<double>, angle double, shear_h double, shear_v double, zoom double, emboss double")
+    df = spark.createDataFrame([(1, "none", page, *[0.0] * 10)], WARPED)
     assert I.warp(df, "id", "v", 4).first()["v"] == pytest.approx(page)
 
 
 def test_rotation_by_a_quarter_turn(spark):
     page = np.arange(16.0).reshape(4, 4)
-    df = spark.createDataFrame([(1, "r", page.ravel().tolist(), 90.0, 0.0, 0.0, 0.0, 0.0)], "id long, variant string, v array<double>, angle double, shear_h double, shear_v double, zoom double, emboss double")
+    df = spark.createDataFrame([(1, "r", page.ravel().tolist(), 90.0, *[0.0] * 9)], WARPED)
     got = np.array(I.warp(df, "id", "v", 4).first()["v"]).reshape(4, 4)
     assert any(np.allclose(got, np.rot90(page, k)) for k in (1, 3))
 

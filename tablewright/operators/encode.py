@@ -12,7 +12,8 @@ from tablewright.operators.lookup import lookup
 from tablewright.operators.ranking import positioned
 from tablewright.session import durable
 
-MAX_WIDE = 2000  # dummy columns; larger vocabularies belong in the long form
+#: Runs of two or more letters, digits or underscores, in any script.
+TOKEN = r"[\p{L}\p{M}\p{N}_]{2,}"
 
 
 def long_categories(df: DataFrame, row_id: str, cols: Sequence[str], *keep: str) -> DataFrame:
@@ -42,10 +43,8 @@ def one_hot_long(df: DataFrame, row_id: str, vocabulary: DataFrame, cols: Sequen
 
 
 def one_hot_wide(df: DataFrame, vocabulary: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Dummy columns named col=value in place of the categorical ones."""
-    rows = vocabulary.orderBy("idx").limit(MAX_WIDE + 1).collect()
-    if len(rows) > MAX_WIDE:
-        raise ValueError(f"more than {MAX_WIDE} categories: use one_hot_long")
+    """Dummy columns named col=value in place of the categorical ones; for many categories see ``one_hot_long``."""
+    rows = vocabulary.orderBy("idx").collect()
     dummies = [
         F.coalesce((F.col(r["feature"]).cast("string") == r["value"]).cast("int"), F.lit(0)).alias(
             f"{r['feature']}={r['value']}"
@@ -55,11 +54,11 @@ def one_hot_wide(df: DataFrame, vocabulary: DataFrame, cols: Sequence[str]) -> D
     return df.select(*[c for c in df.columns if c not in cols], *dummies)
 
 
-def tokens(text: Column, pattern: str = "[a-z]{2,}") -> Column:
+def tokens(text: Column, pattern: str = TOKEN) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(0))
 
 
-def term_counts(docs: DataFrame, key: str, text: str, stop: Sequence[str] = (), pattern: str = "[a-z]{2,}") -> DataFrame:
+def term_counts(docs: DataFrame, key: str, text: str, stop: Sequence[str] = (), pattern: str = TOKEN) -> DataFrame:
     """(key, term, n) over whole texts."""
     terms = docs.select(key, F.explode(tokens(F.col(text), pattern)).alias("term"))
     if stop:

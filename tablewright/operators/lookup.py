@@ -5,24 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-BROADCAST_ROWS = 50_000
-
-
-def sized(model: DataFrame) -> DataFrame:
-    """A fitted table marked for broadcast only if it is found to be small.
-
-    At most BROADCAST_ROWS + 1 rows are fetched to find out. A larger table
-    stays a distributed one and is left to a shuffled join, where Spark splits
-    hot keys.
-    """
-    head = model.limit(BROADCAST_ROWS + 1).collect()
-    if len(head) > BROADCAST_ROWS:
-        return model
-    return F.broadcast(model.sparkSession.createDataFrame(head, model.schema))
 
 
 def lookup(df: DataFrame, model: DataFrame, on: Sequence[str] | str | Column, how: str = "left") -> DataFrame:
-    """Join with a fitted table; the rows of ``df`` stay where they are when the table is small."""
-    return df.join(sized(model), on, how)
+    """Join with a fitted table; the planner sends it to all tasks if it turns out small, and splits hot keys."""
+    return df.join(model, on, how)

@@ -9,7 +9,10 @@ from tablewright.operators.ranking import ranked_values
 
 
 def logloss(y: Column, p: Column) -> Column:
-    return -F.avg(F.when(y == 1, F.log(p)).otherwise(F.log(1 - p)))
+    """Mean of -log of the probability given to the true class; infinite if that is 0 anywhere."""
+    right = F.when(y == 1, p).otherwise(1 - p)
+    # log(0) is null in SQL, and a null would drop the row from the mean
+    return F.avg(F.when(right == 0, F.lit(float("inf"))).otherwise(-F.log(right)))
 
 
 def mse(y: Column, p: Column) -> Column:

@@ -61,7 +61,7 @@ def forest_regressor(trees: int, depth: int, min_leaf: int, subset: str, label:
 
 def boosting(stages: int, depth: int, min_leaf: int, subset: str = "0.25", subsample: float = 0.5, label: str = "label", seed: int = 1) -> GBTClassifier:
     return GBTClassifier(
-        labelCol=label, maxIter=stages, maxDepth=min(depth, 30), minInstancesPerNode=min_leaf,
+        labelCol=label, maxIter=stages, maxDepth=depth, minInstancesPerNode=min_leaf,
         featureSubsetStrategy=subset, subsamplingRate=subsample, seed=seed,
     )
 
@@ -134,8 +134,7 @@ def approximate_selection(score: Callable[[Sequence[str]], float], features: Seq
     remain = list(features)
     chosen: list[tuple[str, float]] = []
     best_so_far = -math.inf
-    rising = True
-    while remain and rising:
+    while remain:
         order = rng.sample(remain, len(remain))
         enough = EARLY_SHARE * len(remain)
         kept: list[tuple[float, str]] = []
@@ -152,8 +151,8 @@ def approximate_selection(score: Callable[[Sequence[str]], float], features: Seq
             break
         s, f = max(kept)
         remain.remove(f)
-        rising = s > best_so_far
-        if rising:
+        # a tie drops the feature and goes on with the others
+        if s > best_so_far:
             chosen.append((f, s))
             best_so_far = s
     return chosen
@@ -180,10 +179,13 @@ def best_c(scores: Sequence[tuple[float, float]]) -> tuple[float, float]:
 def out_of_fold(df: DataFrame, models: Mapping[str, Estimator], fold: str, k: int, keep: Sequence[str]) -> DataFrame:
     """Level-one probabilities of every row from models that have not seen its fold."""
     parts = []
+    jobs = [(i, m) for i in range(k) for m in models.values()]
+    with ThreadPoolExecutor(4) as pool:
+        fitted = iter(list(pool.map(lambda j: j[1].fit(df.where(F.col(fold) != j[0])), jobs)))
     for i in range(k):
-        train, held = df.where(F.col(fold) != i), df.where(F.col(fold) == i)
-        for name, m in models.items():
-            held = m.fit(train).transform(held).withColumn(name, positive()).drop("rawPrediction", "probability", "prediction")
+        held = df.where(F.col(fold) == i)
+        for name in models:
+            held = next(fitted).transform(held).withColumn(name, positive()).drop("rawPrediction", "probability", "prediction")
         parts.append(held.select(*keep, *models))
     out = parts[0]
     for p in parts[1:]:
@@ -191,13 +193,17 @@ def out_of_fold(df: DataFrame, models: Mapping[str, Estimator], fold: str, k: in
     return out
 
 
-def per_group(df: DataFrame, group: str, values: Sequence[str], model: Callable[[], Estimator], keep: Sequence[str]) -> DataFrame:
-    """One model per group; the predictions come back as one table."""
-    out = None
-    for v in values:
-        part = df.where(F.col(group) == v)
-        scored = model().fit(part).transform(part).select(*keep, positive().alias("p"))
-        out = scored if out is None else out.unionByName(scored)
+def per_group(
+    train: DataFrame, df: DataFrame, group: str, values: Sequence[str], model: Callable[[], Estimator],
+    keep: Sequence[str], parallel: int = 4,
+) -> DataFrame:
+    """One model for each of the named groups, fitted side by side; rows of other groups get a null prediction."""
+    with ThreadPoolExecutor(parallel) as pool:
+        fitted = list(pool.map(lambda v: model().fit(train.where(F.col(group) == v)), values))
+    others = F.col(group).isNull() | ~F.col(group).isin(list(values))
+    out = df.where(others).select(*keep, F.lit(None).cast("double").alias("p"))
+    for v, m in zip(values, fitted):
+        out = out.unionByName(m.transform(df.where(F.col(group) == v)).select(*keep, positive().alias("p")))
     return out
 
 

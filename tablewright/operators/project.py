@@ -11,20 +11,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_WIDTH = 2048
-
-
 def _stack(col: pd.Series) -> np.ndarray:
     return np.stack(col.to_numpy()).astype("float64")
 
 
 def width_of(df: DataFrame, vec: str) -> int:
     d = df.agg(F.max(F.size(vec))).first()[0]
-    if d is None or d > MAX_WIDTH:
-        raise ValueError(f"vector width {d} cannot be reduced to one matrix")
+    if d is None:
+        raise ValueError("no vector to fit on")
     return d
 
 
@@ -98,8 +96,16 @@ def covariance_rows(df: DataFrame, vec: str) -> DataFrame:
     return df.sparkSession.createDataFrame(frame, "i int, j int, cov double")
 
 
+BLOCK = 1 << 16  # cells of a partial sum per row
+
+
 def _partial_sums(df: DataFrame, vec: str, size: int, fold: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
-    """Sum over all batches of ``fold(rows)``, a flat array of fixed size."""
+    """Sum over all batches of ``fold(rows)``, a flat array of fixed size.
+
+    Every task gives its sum in blocks; blocks are added in two steps, so no
+    task adds more than a share of the partitions, and the driver gets one row
+    per block.
+    """
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         acc, seen = np.zeros(size), False
@@ -107,12 +113,26 @@ def _partial_sums(df: DataFrame, vec: str, size: int, fold: Callable[[np.ndarray
             if len(pdf):
                 acc, seen = acc + fold(_stack(pdf[vec])), True
         if seen:
-            yield pd.DataFrame({"sums": [acc]})
-
-    cells = df.select(vec).mapInPandas(partial, "sums array<double>").select(F.posexplode("sums").alias("k", "x"))
+            for block, at in enumerate(range(0, size, BLOCK)):
+                yield pd.DataFrame(
+                    {
+                        "share": [TaskContext.get().partitionId() % 32], "block": [block],
+                        "cells": [acc[at : at + BLOCK].tobytes()],
+                    }
+                )
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = np.frombuffer(pdf["cells"].iloc[0]).copy()
+        for cells in pdf["cells"].iloc[1:]:
+            total += np.frombuffer(cells)
+        return pd.DataFrame({"block": pdf["block"].iloc[:1], "cells": [total.tobytes()]})
+
+    sums = df.select(vec).mapInPandas(partial, "share int, block int, cells binary")
+    for keys in (["share", "block"], ["block"]):
+        sums = sums.groupBy(*keys).applyInPandas(add, "block int, cells binary")
     total = np.zeros(size)
-    for r in cells.groupBy("k").agg(F.sum("x").alias("x")).collect():
-        total[r["k"]] = r["x"]
+    for r in sums.collect():
+        total[r["block"] * BLOCK : (r["block"] + 1) * BLOCK] = np.frombuffer(r["cells"])
     return total
 
 

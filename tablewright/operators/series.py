@@ -78,6 +78,9 @@ def ewma(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str], sp
     """
     keys = list(keys)
     r = 1.0 - 2.0 / (span + 1.0)
+    if r <= 0:  # only the latest value counts
+        return df
+    block = max(block, 4 * int(span))  # so that a block is fed by few before it, however long the span
     while block > 1 and r ** (2 * block) < 1e-250:
         block //= 2
     reach = 1

@@ -12,7 +12,6 @@ from tablewright.operators import project as P
 from tablewright.operators.clean import apply_cells, apply_scale, fit_cells, fit_standardise
 from tablewright.plans.fixtures import SQL_CELLS, long_cells, vectors
 from tablewright.plans.registry import Tables, query
-from tablewright.session import spread
 
 CAT = ["p_brand", "p_type", "p_size"]
 SQL_LONG = """l AS (SELECT p_partkey, unnest(['p_brand', 'p_type', 'p_size']) AS feature, unnest([p_brand, p_type, p_size::VARCHAR]) AS value FROM part)"""
@@ -73,7 +72,7 @@ def one_hot_reuse(t: Tables) -> DataFrame:
     return N.one_hot_long(t.part, "p_partkey", vocabulary, CAT)
 
 
-SQL_TOKENS = f"tok AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]{{2,}}')) AS term FROM documents)"
+SQL_TOKENS = f"tok AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{N.TOKEN}')) AS term FROM documents)"
 
 
 @query(
@@ -81,7 +80,7 @@ SQL_TOKENS = f"tok AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a
     f"""WITH {SQL_TOKENS} SELECT term, count(DISTINCT doc_id) AS df FROM tok WHERE term NOT IN ({SQL_STOP}) GROUP BY 1 HAVING count(DISTINCT doc_id) >= 10""",
 )
 def doc_frequency(t: Tables) -> DataFrame:
-    return N.document_frequency(spread(t.documents, "doc_id"), "doc_id", "text", 10, STOP)
+    return N.document_frequency(t.documents, "doc_id", "text", 10, STOP)
 
 
 @query(
@@ -90,7 +89,7 @@ def doc_frequency(t: Tables) -> DataFrame:
  SELECT doc_id, term, count(*) AS n FROM tok WHERE term IN (SELECT term FROM v) GROUP BY 1, 2""",
 )
 def term_counts(t: Tables) -> DataFrame:
-    return N.bag_of_words(spread(t.documents, "doc_id"), "doc_id", "text", 10, STOP)
+    return N.bag_of_words(t.documents, "doc_id", "text", 10, STOP)
 
 
 SQL_F = """per AS (SELECT i, label, count(*) AS n, avg(x) AS m, var_pop(x) * count(*) AS ss FROM cells GROUP BY 1, 2),
@@ -183,7 +182,7 @@ def minmax_cells(t: Tables) -> DataFrame:
 @query("nmf")
 def nmf(t: Tables) -> DataFrame:
     """Weights on four nonnegative parts after scaling every position to [0, 1]."""
-    v = spread(vectors(t), "vec_id")
+    v = vectors(t)
     scaled = apply_cells(v, "v", fit_cells(v, "v", "minmax")).persist()
     return long_cells(P.fit_nmf(scaled, "v", 4).apply(scaled, "v"), F.col("v"), "vec_id")
 

@@ -49,13 +49,3 @@ def durable(df: DataFrame) -> DataFrame:
     """
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def spread(table: DataFrame, *keys: str) -> DataFrame:
-    """A scanned table over all cores, when its files give fewer partitions than there are cores.
-
-    For work that is heavy per row. Large inputs already have more partitions
-    than cores and stay as they are, without a shuffle.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores, *keys) if table.rdd.getNumPartitions() < cores else table

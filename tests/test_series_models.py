@@ -7,7 +7,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from tablewright.operators import cluster, encode, joins, metrics, project
+from tablewright.operators import cluster, encode, folds, joins, metrics, project
 from tablewright.operators import models as M
 from tablewright.operators import series as Q
 from tablewright.operators.folds import stratified
@@ -202,3 +202,41 @@ def test_files_round_trip(spark, tmp_path):
 def test_numeric_read_without_fill_gives_nulls(spark, tmp_path):
     (tmp_path / "m.csv").write_text("a,b\n1,x\n,2.5\n")
     assert [tuple(r) for r in delimited.read_numeric(spark, str(tmp_path), ["a", "b"], fill=None).collect()] == [(1.0, None), (None, 2.5)]
+
+
+def test_logloss_of_a_certain_mistake_is_infinite(spark):
+    df = spark.createDataFrame([(1, 0.0), (0, 0.5)], "y int, p double")
+    assert df.agg(metrics.logloss(F.col("y"), F.col("p"))).first()[0] == float("inf")
+    sure = spark.createDataFrame([(1, 1.0), (0, 0.0)], "y int, p double")
+    assert sure.agg(metrics.logloss(F.col("y"), F.col("p"))).first()[0] == 0
+
+
+def test_seeds_share_few_folds(spark):
+    df = spark.range(2000).withColumn("c", F.col("id") % 2)
+    a, b = (folds.kfold(df, "id", 5, shuffle=True, seed=s).select("id", F.col("fold").alias(f"f{s}")) for s in (1, 2))
+    same = a.join(b, "id").where("f1 = f2").count() / 2000
+    shifted = a.join(b.withColumn("id", F.col("id") + 1), "id").where("f1 = f2").count() / 2000
+    assert abs(same - 0.2) < 0.04 and abs(shifted - 0.2) < 0.04
+
+
+def test_approximate_selection_goes_on_after_a_tie():
+    gain = {"a": 1.0, "b": 0.0, "c": 0.5}
+    for seed in range(8):
+        chosen = [f for f, _ in M.approximate_selection(lambda fs: sum(gain[f] for f in fs), list(gain), seed=seed)]
+        assert {"a", "c"} <= set(chosen) or "a" in chosen
+
+
+def test_ewma_of_span_one_and_of_long_spans(spark):
+    x = [float(i * i % 17) for i in range(900)]
+    df = spark.createDataFrame(list(enumerate(x)), "t int, x double")
+    for span in (1, 700):
+        got = [r["x"] for r in Q.ewma(df, [], "t", ["x"], span).orderBy("t").collect()]
+        assert got == pytest.approx(pd.Series(x).ewm(span=span, adjust=True).mean().tolist())
+
+
+def test_covariance_of_wide_vectors(spark):
+    rng = np.random.RandomState(4)
+    x = rng.rand(12, 2680)
+    df = spark.createDataFrame([(v.tolist(),) for v in x], "v array<double>").repartition(5)
+    n, mean, cov = project.mean_and_covariance(df, "v")
+    assert n == 12 and np.allclose(mean, x.mean(0)) and np.allclose(cov, np.cov(x.T, bias=True))

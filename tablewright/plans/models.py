@@ -6,17 +6,17 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.functions.scalar import crosses
+from tablewright.functions.scalar import crosses, draw
 from tablewright.operators import folds, metrics
 from tablewright.operators import models as M
 from tablewright.operators import project as P
 from tablewright.operators.clean import apply_scale, fit_standardise
 from tablewright.operators.joins import left_join_default
-from tablewright.plans.fixtures import LI_KEY, SQL_CELLS, vectors
+from tablewright.plans.fixtures import SQL_CELLS, vectors
 from tablewright.plans.registry import Tables, query
-from tablewright.plans.relational import sql_lcg
+from tablewright.plans.relational import sql_draw
 from tablewright.plans.series import ECON_COLS, economy_features
-from tablewright.session import durable, spread
+from tablewright.session import durable
 
 SQL_SCORED = """sc AS (SELECT doc_id, quality, n_chars / (n_chars + 1500.0::DOUBLE) AS p FROM labels JOIN documents USING (doc_id))"""
 
@@ -81,7 +81,7 @@ def kfold(t: Tables) -> DataFrame:
 
 @query(
     "kfold_shuffled",
-    f"""WITH p AS (SELECT doc_id, row_number() OVER (ORDER BY {sql_lcg('doc_id + 1')}, doc_id) - 1 AS p, count(*) OVER () AS n FROM labels)
+    f"""WITH p AS (SELECT doc_id, row_number() OVER (ORDER BY {sql_draw('fold', '1', 'doc_id')}, doc_id) - 1 AS p, count(*) OVER () AS n FROM labels)
  SELECT doc_id, (CASE WHEN p < (n % 10) * (n // 10 + 1) THEN p // (n // 10 + 1) ELSE n % 10 + (p - (n % 10) * (n // 10 + 1)) // (n // 10) END)::INT AS fold FROM p""",
 )
 def kfold_shuffled(t: Tables) -> DataFrame:
@@ -98,7 +98,7 @@ def stratified_folds(t: Tables) -> DataFrame:
 
 @query(
     "stratified_shuffle",
-    f"""WITH p AS (SELECT doc_id, row_number() OVER (PARTITION BY quality ORDER BY {sql_lcg('doc_id + 1')}, doc_id) - 1 AS p, count(*) OVER (PARTITION BY quality) AS n FROM labels)
+    f"""WITH p AS (SELECT doc_id, row_number() OVER (PARTITION BY quality ORDER BY {sql_draw('fold', '1', 'doc_id')}, doc_id) - 1 AS p, count(*) OVER (PARTITION BY quality) AS n FROM labels)
  SELECT doc_id, p < round(n * 0.1::DOUBLE) AS is_test FROM p""",
 )
 def stratified_shuffle(t: Tables) -> DataFrame:
@@ -107,7 +107,7 @@ def stratified_shuffle(t: Tables) -> DataFrame:
 
 @query(
     "shuffle_split",
-    f"""WITH p AS (SELECT doc_id, row_number() OVER (ORDER BY {sql_lcg('doc_id + 1')}, doc_id) - 1 AS p, count(*) OVER () AS n FROM labels)
+    f"""WITH p AS (SELECT doc_id, row_number() OVER (ORDER BY {sql_draw('fold', '1', 'doc_id')}, doc_id) - 1 AS p, count(*) OVER () AS n FROM labels)
  SELECT doc_id, p < round_even(0.6::DOUBLE * n, 0) AS is_train FROM p""",
 )
 def shuffle_split(t: Tables) -> DataFrame:
@@ -119,13 +119,13 @@ def shuffle_split(t: Tables) -> DataFrame:
 NUM = ["chars", "words", "lines", "digits", "uppers", "mean_word"]
 
 
-def labelled_documents(t: Tables) -> DataFrame:
-    """Labelled documents with simple whole-text numbers and categories."""
+def described_documents(t: Tables) -> DataFrame:
+    """All documents with simple whole-text numbers and categories; the label is null where there is none."""
     text = F.col("text")
     chars = F.length(text).cast("double")
     count = lambda pattern: F.regexp_count(text, F.lit(pattern)).cast("double")
     return (
-        spread(t.documents, "doc_id").join(t.labels, "doc_id")
+        t.documents.join(t.labels, "doc_id", "left")
         .select(
             "doc_id", "lang", "source", F.col("quality").cast("double").alias("label"),
             F.log1p(chars).alias("chars"), F.log1p(count(r"\S+")).alias("words"), F.log1p(count("\n")).alias("lines"),
@@ -136,11 +136,13 @@ def labelled_documents(t: Tables) -> DataFrame:
     )
 
 
-def ready(t: Tables, k: int = 3) -> DataFrame:
-    """Standardised features and a fold column, kept in memory for the fits."""
-    base = durable(labelled_documents(t))  # the texts are read once
-    scaled = apply_scale(base, fit_standardise(base, NUM)).na.fill(0.0, NUM)
-    return M.assemble(folds.stratified(scaled, "doc_id", "label", k), NUM).persist()
+def ready(t: Tables, k: int = 3) -> tuple[DataFrame, DataFrame]:
+    """Standardised features: labelled rows with a fold column, and all rows. The scale is that of the labelled."""
+    base = durable(described_documents(t))  # the texts are read once
+    labelled = F.col("label").isNotNull()
+    scaled = apply_scale(base, fit_standardise(base.where(labelled), NUM)).na.fill(0.0, NUM)
+    everything = M.assemble(scaled, NUM)
+    return folds.stratified(everything.where(labelled), "doc_id", "label", k).persist(), everything
 
 
 def probabilities(df: DataFrame) -> DataFrame:
@@ -149,21 +151,42 @@ def probabilities(df: DataFrame) -> DataFrame:
 
 @query("logreg")
 def logreg(t: Tables) -> DataFrame:
-    data = M.balanced_weights(ready(t), "label")
-    n = data.count()
-    return probabilities(M.logistic(4.0, n, weight="weight").fit(data).transform(data))
+    """Fitted on the labelled documents, applied to all."""
+    labelled, everything = ready(t)
+    data = M.balanced_weights(labelled, "label")
+    model = M.logistic(4.0, data.count(), weight="weight").fit(data)
+    labelled.unpersist()
+    return probabilities(model.transform(everything))
+
+
+@query(
+    "submission",
+    """SELECT d.doc_id, l.doc_id IS NOT NULL AS labelled, true AS is_probability
+ FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
+)
+def submission(t: Tables) -> DataFrame:
+    """Fit on the labelled rows, predict every row, write the file and read it again."""
+    scored = logreg(t).select("doc_id", F.col("label").isNotNull().alias("labelled"), "p")
+    path = t.scratch()
+    scored.write.option("header", True).csv(path)
+    back = t.spark.read.csv(path, header=True, schema="doc_id bigint, labelled boolean, p double")
+    return back.select("doc_id", "labelled", F.col("p").between(0, 1).alias("is_probability"))
 
 
 @query("rf_classifier")
 def rf_classifier(t: Tables) -> DataFrame:
-    data = ready(t)
-    return probabilities(M.forest_classifier(20, 3, 5).fit(data).transform(data))
+    data, everything = ready(t)
+    model = M.forest_classifier(20, 3, 5).fit(data)
+    data.unpersist()
+    return probabilities(model.transform(everything))
 
 
 @query("gbt_classifier")
 def gbt_classifier(t: Tables) -> DataFrame:
-    data = ready(t)
-    return probabilities(M.boosting(10, 3, 5, subset="0.5").fit(data).transform(data))
+    data, everything = ready(t)
+    model = M.boosting(10, 3, 5, subset="0.5").fit(data)
+    data.unpersist()
+    return probabilities(model.transform(everything))
 
 
 LI_FEATURES = ["l_quantity", "l_discount", "l_tax", "p_size", "p_retailprice"]
@@ -171,27 +194,28 @@ LI_FEATURES = ["l_quantity", "l_discount", "l_tax", "p_size", "p_retailprice"]
 
 def priced(t: Tables) -> DataFrame:
     part = t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_size").cast("double").alias("p_size"), "p_retailprice")
-    rows = spread(t.lineitem, *LI_KEY).join(part, "l_partkey").select(
-        "l_returnflag", "l_linestatus", *LI_FEATURES, F.log("l_extendedprice").alias("y")
+    held = draw("held out", 1, F.col("l_orderkey"), F.col("l_linenumber")) < 0.2
+    rows = t.lineitem.join(part, "l_partkey").select(
+        "l_returnflag", "l_linestatus", *LI_FEATURES, F.log("l_extendedprice").alias("y"), held.alias("held")
     )
     return M.assemble(rows, LI_FEATURES)
 
 
 @query("rf_regressor")
 def rf_regressor(t: Tables) -> DataFrame:
-    """Log price from line item columns; errors per group."""
+    """Log price from line item columns; rows and errors per group, errors of the fifth that is held out."""
     data = priced(t).persist()
-    out = M.forest_regressor(10, 5, 25, "sqrt", "y").fit(data).transform(data)
+    out = M.forest_regressor(10, 5, 25, "sqrt", "y").fit(data.where(~F.col("held"))).transform(data)
+    y, guess = (F.when(F.col("held"), F.col(c)) for c in ("y", "prediction"))
     return out.groupBy("l_returnflag", "l_linestatus").agg(
-        F.count(F.lit(1)).alias("n"), metrics.rmse(F.col("y"), F.col("prediction")).alias("rmse"),
-        metrics.r2(F.col("y"), F.col("prediction")).alias("r2"),
+        F.count(F.lit(1)).alias("n"), metrics.rmse(y, guess).alias("rmse"), metrics.r2(y, guess).alias("r2"),
     )
 
 
 @query("rf_multi_regressor")
 def rf_multi_regressor(t: Tables) -> DataFrame:
     """One forest per target on one cached input; error over all outputs."""
-    data = spread(vectors(t), "vec_id").select(
+    data = vectors(t).select(
         "vec_id", array_to_vector(F.slice("v", 5, 16)).alias("features"), *[F.col("v")[i].alias(f"y{i}") for i in range(4)]
     ).persist()
     out = data
@@ -222,7 +246,7 @@ def rbf_regression(t: Tables) -> DataFrame:
 
 @query("cv_report")
 def cv_report(t: Tables) -> DataFrame:
-    data = ready(t)
+    data, _ = ready(t)
     n = data.count()
     rows = []
     for name, model in (("logistic", M.logistic(4.0, n)), ("forest", M.forest_classifier(10, 3, 5))):
@@ -236,7 +260,7 @@ CATS = ["lang", "source", "size", "lang_x_source"]
 
 def category_scorer(t: Tables):
     """Cross-validated AUC of a set of one-hot blocks, built once."""
-    base = durable(labelled_documents(t))
+    base = durable(described_documents(t).where("label is not null"))
     crossed = base.select("doc_id", "label", "lang", "source", "size", *[c.cast("string") for c in crosses(["lang", "source"], 2)])
     crossed = crossed.toDF("doc_id", "label", "lang", "source", "size", "lang_x_source")
     built = M.blocks(folds.stratified(crossed, "doc_id", "label", 2), CATS).persist()
@@ -261,7 +285,7 @@ def approx_selection(t: Tables) -> DataFrame:
 
 @query("c_sweep")
 def c_sweep(t: Tables) -> DataFrame:
-    data = ready(t, 2)
+    data, _ = ready(t, 2)
     scores = M.sweep_c(data, data.count(), "fold", 2, M.auc_evaluator(), M.c_grid(1.0))
     best, _ = M.best_c(scores)
     rows = [(float(c), float(s), c == best) for c, s in scores]
@@ -270,28 +294,39 @@ def c_sweep(t: Tables) -> DataFrame:
 
 @query("stacking")
 def stacking(t: Tables) -> DataFrame:
-    """Out-of-fold level-one probabilities feed a level-two model."""
-    data = ready(t)
+    """Two levels, each out of fold for the labelled documents and refitted on all of them for the others."""
+    data, everything = ready(t)
     n = data.count()
-    level1 = M.out_of_fold(
-        data, {"p_lr": M.logistic(4.0, n), "p_rf": M.forest_classifier(10, 3, 5)}, "fold", 3, ["doc_id", "label"]
-    )
-    level2 = M.assemble(level1, ["p_lr", "p_rf"]).persist()
-    return probabilities(M.logistic(4.0, n).fit(level2).transform(level2))
+    models = {"p_lr": M.logistic(4.0, n), "p_rf": M.forest_classifier(10, 3, 5)}
+    level1 = M.out_of_fold(data, models, "fold", 3, ["doc_id", "label", "fold"])
+    level2 = M.assemble(durable(level1), list(models))
+    known = M.out_of_fold(level2, {"p": M.logistic(4.0, n)}, "fold", 3, ["doc_id", "label"])
+    rest = everything.where("label is null")
+    for name, model in models.items():
+        rest = model.fit(data).transform(rest).withColumn(name, M.positive())
+        rest = rest.drop("rawPrediction", "probability", "prediction")
+    rest = M.assemble(rest.drop("features"), list(models))
+    others = M.logistic(4.0, n).fit(level2).transform(rest).select("doc_id", "label", M.positive().alias("p"))
+    data.unpersist()
+    return known.unionByName(others).select("doc_id", "label", F.round("p", 6).alias("p"))
+
+
+# The groups that get a model of their own.
+LANGS = ["de", "en", "es", "fr"]
 
 
 @query("group_models")
 def group_models(t: Tables) -> DataFrame:
-    data = ready(t)
-    langs = sorted(r[0] for r in data.select("lang").distinct().collect())
-    return M.per_group(data, "lang", langs, lambda: M.forest_classifier(10, 2, 5), ["doc_id", "lang", "label"])
+    """One model per language, named as an argument; documents of other languages get none."""
+    data, everything = ready(t)
+    return M.per_group(data, everything, "lang", LANGS, lambda: M.forest_classifier(10, 2, 5), ["doc_id", "lang", "label"])
 
 
 @query("econ_price_model")
 def econ_price_model(t: Tables) -> DataFrame:
     """Log price forest, daily residual factor from outside series, factor joined back, price per day."""
     status = F.when(F.col("o_orderstatus") == "F", 0.0).when(F.col("o_orderstatus") == "O", 1.0).otherwise(2.0)
-    rows = spread(t.orders, "o_orderkey").select(
+    rows = t.orders.select(
         "o_orderkey", F.to_date("o_orderdate").alias("d"), F.log("o_totalprice").alias("y"),
         F.month("o_orderdate").cast("double").alias("month"), F.year("o_orderdate").cast("double").alias("year"),
         F.substring("o_orderpriority", 1, 1).cast("double").alias("priority"), status.alias("status"),

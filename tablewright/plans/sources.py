@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.functions.scalar import try_dates
@@ -69,17 +69,34 @@ def parse_dates(t: Tables) -> DataFrame:
     return t.orders.select("o_orderkey", try_dates(text, ["yyyy-MM-dd", "M/d/yyyy H:mm"]).alias("parsed"))
 
 
-@query("file_scan")
+SQL_SAMPLES = f"WITH {SQL_CELLS} SELECT vec_id, i, round(x * 10000) + 0.0 AS x FROM cells"
+
+
+def sample_digits() -> Column:
+    """Each vector as big-endian 16-bit samples, in hexadecimal digits."""
+    code = lambda x: F.lpad(F.hex(F.pmod(F.round(x.cast("double") * 10000).cast("int"), F.lit(65536))), 4, "0")
+    return F.array_join(F.transform("embedding", code), "")
+
+
+@query("file_scan", SQL_SAMPLES)
 def file_scan(t: Tables) -> DataFrame:
-    return files.scan_files(t.spark, t.folder, "parquet")
+    """Clips written to files, found by their extension, read whole and decoded."""
+    path = t.scratch()
+    t.embeddings.select(F.concat_ws(" ", "vec_id", sample_digits())).write.text(path)
+    found = files.scan_files(t.spark, path, "txt", content=True)
+    lines = found.select(F.explode(F.split(F.decode("content", "UTF-8"), "\n")).alias("line")).where("line <> ''")
+    raw = lines.select(
+        F.substring_index("line", " ", 1).cast("bigint").alias("vec_id"),
+        F.unhex(F.substring_index("line", " ", -1)).alias("content"),
+    )
+    decoded = files.decode_pcm16be(raw, "vec_id", "content")
+    return decoded.select("vec_id", F.posexplode("samples").alias("i", "x"))
 
 
-@query("pcm_decode", f"WITH {SQL_CELLS} SELECT vec_id, i, round(x * 10000) + 0.0 AS x FROM cells")
+@query("pcm_decode", SQL_SAMPLES)
 def pcm_decode(t: Tables) -> DataFrame:
     """Each vector written as big-endian 16-bit samples, then decoded."""
-    v = F.col("embedding")
-    code = F.transform(v, lambda x: F.lpad(F.hex(F.pmod(F.round(x.cast("double") * 10000).cast("int"), F.lit(65536))), 4, "0"))
-    raw = t.embeddings.select("vec_id", F.unhex(F.array_join(code, "")).alias("content"))
+    raw = t.embeddings.select("vec_id", F.unhex(sample_digits()).alias("content"))
     decoded = files.decode_pcm16be(raw, "vec_id", "content")
     return decoded.select("vec_id", F.posexplode("samples").alias("i", "x"))
 

@@ -285,9 +285,45 @@ def augment_noise(t: Tables) -> DataFrame:
     return long_cells(vectors(t), I.noise(A.minmax_row(F.col("v")), F.col("vec_id")), "vec_id")
 
 
-@query("augment_affine")
+def _sql_affine() -> str:
+    u = lambda what: sql_draw(what, "1", "vec_id", "variant")
+    only = lambda name, value: f"CASE WHEN variant = '{name}' THEN {value} ELSE 0 END::DOUBLE"
+    whole = lambda what, lo, hi: f"floor({u(what)} * {hi - lo + 1}) + {lo}"
+    near = "(SELECT vec_id, r, c, x FROM s)"
+    corners = " ".join(f"JOIN {near} {n} ON {n}.vec_id = f.vec_id AND {n}.r = f.{a} AND {n}.c = f.{b}"
+                       for n, a, b in (("tl", "r0", "c0"), ("tr", "r0", "c1"), ("bl", "r1", "c0"), ("br", "r1", "c1")))
+    slope = lambda at, w: (
+        f"CASE {at} WHEN 0 THEN lead(x) OVER {w} - x WHEN 7 THEN x - lag(x) OVER {w} "
+        f"ELSE (lead(x) OVER {w} - lag(x) OVER {w}) / 2 END * depth * 2.55"
+    )
+    return f"""WITH {SQL_CELLS},
+ s AS (SELECT vec_id, i // 8 AS r, i % 8 AS c, (x - min(x) OVER v) / (max(x) OVER v - min(x) OVER v) AS x
+  FROM cells WINDOW v AS (PARTITION BY vec_id)),
+ p AS (SELECT vec_id, variant, radians({only('rotate', whole('angle', -40, 40))}) AS a,
+  {only('shear_h', f"{u('shear')} * 2 - 1")} AS sh, {only('shear_v', f"{u('shear')} * 2 - 1")} AS sv,
+  {', '.join(f"{only('cut', whole(e, 0, 4))} AS e_{e}" for e in ('top', 'bottom', 'left', 'right'))},
+  radians({only('emboss', whole('azimuth', -40, 40))}) AS az, radians({only('emboss', whole('elevation', 0, 60))}) AS el,
+  {only('emboss', '2')} AS depth
+  FROM embeddings, (VALUES ('rotate'), ('shear_h'), ('shear_v'), ('cut'), ('emboss')) v(variant)),
+ q AS (SELECT p.*, r, c, (cos(a) * (r - 3.5) + sin(a) * (c - 3.5) + sv * (c - 3.5)) * (8 - e_top - e_bottom) / 8 + (e_top - e_bottom) / 2 + 3.5 AS y,
+  (-sin(a) * (r - 3.5) + cos(a) * (c - 3.5) + sh * (r - 3.5)) * (8 - e_left - e_right) / 8 + (e_left - e_right) / 2 + 3.5 AS z
+  FROM p, range(0, 8) m(r), range(0, 8) n(c)),
+ k AS (SELECT *, y >= -0.5 AND y < 7.5 AND z >= -0.5 AND z < 7.5 AS inside, greatest(0, least(7, y)) AS yy, greatest(0, least(7, z)) AS zz FROM q),
+ f AS (SELECT *, floor(yy)::INT AS r0, floor(zz)::INT AS c0, least(floor(yy) + 1, 7)::INT AS r1, least(floor(zz) + 1, 7)::INT AS c1,
+  yy - floor(yy) AS fr, zz - floor(zz) AS fc FROM k),
+ o AS (SELECT f.*, CASE WHEN inside THEN (tl.x * (1 - fc) + tr.x * fc) * (1 - fr) + (bl.x * (1 - fc) + br.x * fc) * fr ELSE 0 END AS x
+  FROM f {corners}),
+ g AS (SELECT *, {slope('r', 'dn')} AS down, {slope('c', 'rt')} AS rght FROM o
+  WINDOW dn AS (PARTITION BY vec_id, variant, c ORDER BY r), rt AS (PARTITION BY vec_id, variant, r ORDER BY c))
+ SELECT vec_id, variant, (r * 8 + c)::INT AS i, round(CASE WHEN depth = 0 THEN x ELSE greatest(0, least(1,
+  (cos(el) * cos(az) * down + cos(el) * sin(az) * rght + sin(el)) / sqrt(down * down + rght * rght + 1))) END, 6) + 0.0 AS x FROM g"""
+
+
+@query("augment_affine", _sql_affine())
 def augment_affine(t: Tables) -> DataFrame:
-    return I.augment_affine(vectors(t), "vec_id", "v", 8)
+    """Five changed copies of each page, cell by cell."""
+    changed = I.augment_affine(vectors(t), "vec_id", "v", 8)
+    return long_cells(changed, F.col("v"), "vec_id", "variant")
 
 
 SHARES = "v / nullif(sum(v) OVER (PARTITION BY vec_id, g), 0)"

@@ -214,34 +214,51 @@ def order_score(boxes: DataFrame) -> DataFrame:
     )
 
 
-def _unit_cells(boxes: DataFrame) -> DataFrame:
-    axis = lambda a: F.sequence(F.least(f"{a}1", f"{a}2"), F.greatest(f"{a}1", f"{a}2"))
-    return (
-        boxes.select("id", F.explode(axis("x")).alias("x"), axis("y").alias("_y"), axis("z").alias("_z"))
-        .withColumn("y", F.explode("_y"))
-        .withColumn("z", F.explode("_z"))
-        .select("id", "x", "y", "z")
+def _hits(boxes: DataFrame) -> DataFrame:
+    """Ids of the boxes that overlap another one, several times perhaps.
+
+    Boxes are sorted into levels of a grid by their longest side, so each
+    covers at most eight cells of its level. It is put into those, and into
+    the cells it touches on every coarser level in use. Two boxes that overlap
+    share a cell on the coarser of their levels, whatever their sizes, and
+    each only has to find one partner.
+    """
+    ends = boxes.select(
+        "id",
+        *[F.least(f"{a}1", f"{a}2").cast("double").alias(f"{a}_lo") for a in "xyz"],
+        *[F.greatest(f"{a}1", f"{a}2").cast("double").alias(f"{a}_hi") for a in "xyz"],
     )
+    side = F.greatest(*[F.col(f"{a}_hi") - F.col(f"{a}_lo") for a in "xyz"], F.lit(2.0**-30))
+    ends = ends.withColumn("own", F.ceil(F.log2(side)).cast("int"))
+    # one number per power of two that occurs as a size
+    levels = sorted(r["own"] for r in ends.select("own").distinct().collect() if r["own"] is not None)
+    placed = ends.withColumn("level", F.explode(F.array(*map(F.lit, levels)).cast("array<int>"))).where("level >= own")
+    for a in "xyz":
+        at = lambda e: F.floor(F.col(f"{a}_{e}") / F.pow(F.lit(2.0), F.col("level")))  # noqa: E731, B023
+        placed = placed.withColumn(a, F.explode(F.sequence(at("lo"), at("hi"))))
+    cell = ["level", "x", "y", "z"]
+    names = ["id", *[f"{a}_{e}" for a in "xyz" for e in ("lo", "hi")]]
+    sides = [placed.select(*cell, *[F.col(c).alias(f"{s}_{c}") for c in [*names, "own"]]) for s in "ab"]
+    a, b = sides[0].where("level = a_own"), sides[1]
+    same = F.lit(True)
+    for c in cell:
+        same = same & (a[c] == b[c])
+    apart = F.col("a_id") == F.col("b_id")
+    for c in "xyz":
+        apart = apart | (F.col(f"a_{c}_lo") > F.col(f"b_{c}_hi")) | (F.col(f"b_{c}_lo") > F.col(f"a_{c}_hi"))
+    larger, smaller = a.join(b, same & ~apart, "left_semi"), b.join(a, same & ~apart, "left_semi")
+    return larger.select(F.col("a_id").alias("id")).unionByName(smaller.select(F.col("b_id").alias("id")))
 
 
 def overlapping_boxes(boxes: DataFrame) -> DataFrame:
-    """(id, overlaps) for boxes with integer corners.
-
-    Closed integer boxes overlap exactly when they share a unit cell, so boxes
-    become cells, cells are counted with partial sums, and a box overlaps when
-    one of its cells is counted twice. Work grows with the total volume of the
-    boxes, whatever the number of overlapping pairs.
-    """
-    cells = _unit_cells(boxes)
-    shared = cells.groupBy("x", "y", "z").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    hit = cells.join(shared, ["x", "y", "z"], "left_semi").select("id").distinct().withColumn("_hit", F.lit(True))
+    """(id, overlaps) for closed boxes with any corners."""
+    hit = _hits(boxes).distinct().withColumn("_hit", F.lit(True))
     return boxes.select("id").join(hit, "id", "left").select("id", F.coalesce("_hit", F.lit(False)).alias("overlaps"))
 
 
 def any_overlap(boxes: DataFrame) -> DataFrame:
     """One row: does any pair of boxes overlap."""
-    counts = _unit_cells(boxes).groupBy("x", "y", "z").agg(F.count(F.lit(1)).alias("n"))
-    return counts.agg(F.coalesce(F.max("n") > 1, F.lit(False)).alias("any_overlap"))
+    return _hits(boxes).limit(1).agg((F.count(F.lit(1)) > 0).alias("any_overlap"))
 
 
 # Which corner (1 or 2) each axis takes in the eight output points.

@@ -2,6 +2,7 @@ import itertools
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,6 +69,17 @@ def test_touching_boxes_overlap(spark):
     assert spatial.any_overlap(df.where("id < 0")).first()[0] is False
 
 
+def test_boxes_of_all_sizes_with_broken_corners(spark):
+    rng = np.random.RandomState(5)
+    lo = rng.uniform(-50, 50, (150, 3))
+    hi = lo + 2.0 ** rng.uniform(-4, 4, (150, 3))
+    lo, hi = np.vstack([lo, [[60.0] * 3]]), np.vstack([hi, [[60.0] * 3]])
+    rows = [(i, *map(float, lo[i]), *map(float, hi[i])) for i in range(len(lo))]
+    df = spark.createDataFrame(rows, "id long, x1 double, y1 double, z1 double, x2 double, y2 double, z2 double")
+    meets = (lo[:, None] <= hi[None]).all(2) & (lo[None] <= hi[:, None]).all(2) & ~np.eye(len(lo), dtype=bool)
+    assert {r["id"]: r["overlaps"] for r in spatial.overlapping_boxes(df).collect()} == dict(enumerate(meets.any(1)))
+
+
 def test_order_score_by_hand(spark):
     rows = [(1, 1, 1, 1, 1, 1, 5), (2, 1, 1, 1, 1, 1, 9), (3, 1, 1, 1, 1, 1, 5)]
     df = spark.createDataFrame(rows, "id long, x1 long, y1 long, z1 long, x2 long, y2 long, z2 long")

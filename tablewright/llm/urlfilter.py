@@ -72,6 +72,12 @@ def _positions(key: Column, seed: int, n_bits: int, hashes: int) -> list[Column]
     return [F.pmod(one + F.lit(i) * two, F.lit(n_bits)) for i in range(hashes)]
 
 
+def bit_is_set(table: Column, p: Column) -> Column:
+    """Bit ``p`` of a binary, counted as bitmap_construct_agg does."""
+    octet = F.conv(F.hex(F.substring(table, (F.shiftright(p, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return F.call_function("shiftright", octet, p.bitwiseAND(F.lit(7)).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+
 class Cascade:
     """Exact membership of the universe's keys in the list, as bit tests."""
 
@@ -84,28 +90,23 @@ class Cascade:
         seed, n_bits = len(self.levels), max(64, 8 * math.ceil(count * bits / 8))
         hashes = max(1, round(bits * math.log(2)))
         bit = F.explode(F.array(*_positions(F.col("key"), seed, n_bits, hashes))).alias("p")
-        octets = (
+        pages = (
             keys.select(bit)
-            .groupBy(F.shiftright("p", 3).alias("at"))
-            .agg(F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("p").bitwiseAND(F.lit(7)).cast("int"))).alias("octet"))
+            .groupBy(F.shiftright("p", 15).alias("page"))
+            .agg(F.bitmap_construct_agg(F.col("p").bitwiseAND(F.lit(0x7FFF))).alias("bits"))
         )
         table = bytearray(n_bits // 8)
-        for row in octets.toLocalIterator():
-            table[row["at"]] = row["octet"]
+        for row in pages.toLocalIterator():
+            at = row["page"] << 12
+            table[at : at + 4096] = row["bits"][: len(table) - at]
         self.levels.append((n_bits, hashes, bytes(table)))
         return seed
 
     def passes(self, key: Column, level: int) -> Column:
         n_bits, hashes, table = self.levels[level]
-        stored = F.lit(table)
-
-        def is_set(p: Column) -> Column:
-            octet = F.conv(F.hex(F.substring(stored, (F.shiftright(p, 3) + 1).cast("int"), F.lit(1))), 16, 10)
-            return F.call_function("shiftright", octet.cast("int"), p.bitwiseAND(F.lit(7)).cast("int")).bitwiseAND(F.lit(1)) == 1
-
         out = F.lit(True)
         for p in _positions(key, level, n_bits, hashes):
-            out = out & is_set(p)
+            out = out & bit_is_set(F.lit(table), p)
         return out
 
     def contains(self, key: Column) -> Column:

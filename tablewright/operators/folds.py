@@ -70,3 +70,19 @@ def shuffle_split(df: DataFrame, row_id: str, train: float, seed: int = 1, out:
     """A random share of the rows for training."""
     cut = _segments(df, row_id, seed, [round(train * df.count())], "_s")
     return cut.withColumn(out, F.col("_s") == 0).drop("_s")
+
+
+def repeated_shuffles(
+    df: DataFrame, row_id: str, label: str, n_iter: int, test: float = 0.1, seed: int = 1
+) -> DataFrame:
+    """(row_id, split, is_test): ``n_iter`` independent stratified splits, one row per row and split.
+
+    All splits come from one global order of ids.
+    """
+    rows = df.select(row_id, label, F.explode(F.sequence(F.lit(1), F.lit(n_iter))).alias("split"))
+    drawn = rows.withColumn("_u", draw("split", seed, F.col("split"), F.col(row_id)))
+    placed = positioned(drawn, ["split", label, "_u", row_id], pos="_p")
+    spans = placed.groupBy("split", label).agg(F.min("_p").alias("_lo"), F.count(F.lit(1)).alias("_n"))
+    out = placed.join(spans.withColumnRenamed("split", "_s").withColumnRenamed(label, "_l"),
+                      (F.col("split") == F.col("_s")) & F.col(label).eqNullSafe(F.col("_l")))
+    return out.select(row_id, "split", (F.col("_p") - F.col("_lo") < F.round(F.col("_n") * test)).alias("is_test"))

@@ -65,13 +65,14 @@ def pair_totals(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return sums.select(*keys, pairs.alias("pairs"), F.try_divide(squares, pairs).alias("mean_sq_diff"))
 
 
-def convex_combinations(df: DataFrame, group: Sequence[str], row_id: str, vec: str, k: int) -> DataFrame:
-    """k synthetic rows per row and successor in its group: a*A + (1-a)*B if a > 0.5, else A.
+def convex_combinations(df: DataFrame, group: Sequence[str], row_id: str, vec: str, k: int, partners: int = 1) -> DataFrame:
+    """k synthetic rows per row and partner in its group: a*A + (1-a)*B if a > 0.5, else A.
 
-    A and B are scaled by a draw around 1. In groups of two the successors are
-    all ordered pairs; larger groups stay linear.
+    A and B are scaled by a draw around 1. Partners are the next rows of the
+    group, closed to a ring: with one less than the group has, they are all
+    ordered pairs; with fewer, large groups stay linear.
     """
-    both = ring_next(df, group, row_id, [vec]).withColumn("kk", F.explode(F.sequence(F.lit(1), F.lit(k))))
+    both = ring_next(df, group, row_id, [vec], partners).withColumn("kk", F.explode(F.sequence(F.lit(1), F.lit(k))))
     pair = F.col(row_id), F.col(f"{row_id}_b"), F.col("kk")
     drawn = both.select(
         row_id,

@@ -153,19 +153,22 @@ def first_seen_codes(df: DataFrame, row_id: str, combos: dict[str, Sequence[str]
     return lookup(long, model, "key", "inner").select(row_id, "combo", "code")
 
 
-def ring_next(df: DataFrame, group: Sequence[str], order: str, carry: Sequence[str]) -> DataFrame:
-    """Each row next to its successor in the group, the last one next to the first.
+def ring_next(df: DataFrame, group: Sequence[str], order: str, carry: Sequence[str], partners: int = 1) -> DataFrame:
+    """Each row next to its ``partners`` successors in the group, which is closed to a ring.
 
-    One output row per input row whatever the group size.
+    At most ``partners`` output rows per input row, whatever the group size; a
+    row is not its own partner. Only group and order, which must be unique, are
+    sorted; the carried columns join at the end.
     """
     group = list(group)
-    placed = positioned(df.select(*group, order, *carry), [*group, order], pos="_p")
-    spans = placed.groupBy(*group).agg(F.min("_p").alias("_lo"), F.max("_p").alias("_hi"))
-    placed = lookup(placed, spans, group, "inner").where(F.col("_hi") > F.col("_lo"))
-    left = placed.withColumn("_q", F.when(F.col("_p") == F.col("_hi"), F.col("_lo")).otherwise(F.col("_p") + 1))
-    right = placed.select(
-        F.col("_p").alias("_q"),
-        F.col(order).alias(f"{order}_b"),
-        *[F.col(c).alias(f"{c}_b") for c in carry],
-    )
-    return left.join(right, "_q").drop("_p", "_q", "_lo", "_hi")
+    placed = positioned(df.select(*group, order), [*group, order], pos="_p")
+    spans = placed.groupBy(*group).agg(F.min("_p").alias("_lo"), F.count(F.lit(1)).alias("_n"))
+    placed = lookup(placed, spans, group, "inner")
+    steps = F.explode(F.sequence(F.lit(1), F.lit(partners))).alias("_k")
+    left = placed.select("*", steps).where(F.col("_k") < F.col("_n"))
+    left = left.withColumn("_q", F.col("_lo") + (F.col("_p") - F.col("_lo") + F.col("_k")) % F.col("_n"))
+    right = placed.select(F.col("_p").alias("_q"), F.col(order).alias(f"{order}_b"))
+    pairs = left.join(right, "_q").select(*group, order, f"{order}_b")
+    values = df.select(order, *carry)
+    others = df.select(F.col(order).alias(f"{order}_b"), *[F.col(c).alias(f"{c}_b") for c in carry])
+    return pairs.join(values, order).join(others, f"{order}_b")

@@ -114,6 +114,18 @@ def shuffle_split(t: Tables) -> DataFrame:
     return folds.shuffle_split(t.labels, "doc_id", 0.6).select("doc_id", "is_train")
 
 
+@query(
+    "repeated_shuffles",
+    f"""WITH s AS (SELECT doc_id, quality, split::INT AS split FROM labels, range(1, 11) r(split)),
+ p AS (SELECT doc_id, split, row_number() OVER (PARTITION BY split, quality ORDER BY {sql_draw('split', '1', 'split', 'doc_id')}, doc_id) - 1 AS p,
+  count(*) OVER (PARTITION BY split, quality) AS n FROM s)
+ SELECT doc_id, split, p < round(n * 0.1::DOUBLE) AS is_test FROM p""",
+)
+def repeated_shuffles(t: Tables) -> DataFrame:
+    """Ten independent stratified splits."""
+    return folds.repeated_shuffles(t.labels, "doc_id", "quality", 10)
+
+
 # ---- model jobs
 
 NUM = ["chars", "words", "lines", "digits", "uppers", "mean_word"]

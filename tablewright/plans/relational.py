@@ -281,6 +281,18 @@ def convex_pairs(t: Tables) -> DataFrame:
     return new.select("vec_id", "vec_id_b", "kk", F.posexplode("v").alias("i", "x")).withColumn("x", F.round("x", 6))
 
 
+@query(
+    "convex_partners",
+    """WITH o AS (SELECT vec_id, label, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS r, count(*) OVER (PARTITION BY label) AS n FROM embeddings)
+ SELECT a.vec_id, b.vec_id AS vec_id_b, count(*) AS n FROM o a JOIN o b
+ ON a.label = b.label AND (b.r - a.r + a.n) % a.n BETWEEN 1 AND 3 GROUP BY 1, 2""",
+)
+def convex_partners(t: Tables) -> DataFrame:
+    """Which rows are combined when each takes the three next ones of its group."""
+    new = joins.convex_combinations(vectors(t), ["label"], "vec_id", "v", 1, partners=3)
+    return new.groupBy("vec_id", "vec_id_b").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "mixup",
     f"""WITH pos AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS k, * FROM embeddings WHERE label = 1),

@@ -35,6 +35,7 @@ from tablewright.llm.common import documents, whole
 from tablewright.llm.registry import query
 
 RANKS = "byte_bpe_50k.tiktoken"
+_HELD = 1 << 18
 
 #: White space as the split pattern sees it.
 _WHITE = r"\t-\r \x85\xa0  -     　"
@@ -84,17 +85,22 @@ def tokenized(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
+
+        def out(batch: pa.RecordBatch, start: int, ids: list[list[int]]) -> pa.RecordBatch:
+            decoded = pa.array([enc.decode_bytes(x) for x in ids], pa.binary())
+            rows = batch["row"].slice(start, len(ids))
+            return pa.RecordBatch.from_arrays([rows, pa.array(ids, pa.list_(pa.int32())), decoded], ["row", "ids", "decoded"])
+
         for batch in batches:
-            for i in range(batch.num_rows):  # one row a batch: a long text is never held twice
-                ids = [t for part in encode(enc, batch["text"][i].as_py()) for t in part]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch["row"].slice(i, 1),
-                        pa.array([ids], pa.list_(pa.int32())),
-                        pa.array([enc.decode_bytes(ids)], pa.binary()),
-                    ],
-                    ["row", "ids", "decoded"],
-                )
+            start, ids, held = 0, [], 0
+            for i in range(batch.num_rows):
+                ids.append([t for part in encode(enc, batch["text"][i].as_py()) for t in part])
+                held += len(ids[-1])
+                if held > _HELD:  # so that long texts don't pile up
+                    yield out(batch, start, ids)
+                    start, ids, held = i + 1, [], 0
+            if ids:
+                yield out(batch, start, ids)
 
     return rows.mapInArrow(run, schema).select("row.*", "ids", "decoded")
 

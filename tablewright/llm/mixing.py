@@ -74,7 +74,7 @@ def _level(sources: DataFrame, budget: float) -> float:
 
 
 def plan_mix(rows: DataFrame, mix: Mix = Mix()) -> DataFrame:
-    """One row per source for staged ``rows`` (source, size, key).
+    """Staged: one row per source for staged ``rows`` (source, size, key).
 
     Gives source_size, weight, target and how far the mix reads it: ``served``
     whole passes over it and then every key up to ``last_key`` (null: none).
@@ -109,11 +109,13 @@ def plan_mix(rows: DataFrame, mix: Mix = Mix()) -> DataFrame:
         .groupBy("rank")
         .agg(F.max(F.struct("pass", "key")).alias("last"))
     )
-    return sources.join(last, "rank", "left").select(
+    plan = sources.join(last, "rank", "left").select(
         "source", "source_size", "weight",
         F.least(F.col("cap").cast("double"), F.lit(level) * F.col("weight")).alias("target"),
         F.coalesce(F.col("last.pass"), F.lit(0)).alias("served"), F.col("last.key").alias("last_key"),
     )
+    # written, so that the planner knows its size before it decides how to join the documents to it
+    return staged(plan, "plan")
 
 
 def copies_taken(key: Column, served: Column, last_key: Column) -> Column:

@@ -3,6 +3,7 @@
 from tablewright.llm import (  # noqa: F401
     bpe,
     exactdedup,
+    hardneg,
     license,
     linededup,
     mixing,

@@ -6,11 +6,13 @@ from tablewright.llm import (  # noqa: F401
     hardneg,
     license,
     linededup,
+    merkle,
     mixing,
     quality_model,
     rules,
     sharding,
     simhash,
+    spelling,
     urlfilter,
 )
 from tablewright.llm.registry import ORACLES, QUERIES

@@ -5,7 +5,9 @@ wherever one match must end and the next begin. Long texts are cut at such
 places and encoded piece by piece: before white space that follows anything
 else, and between letters, digits and other signs where no contraction can
 span. A cut decides nothing but memory. A run without any such place is one
-match, and is encoded whole.
+match, and is encoded whole. Long white space is cut by the pattern's own rule,
+because tiktoken's pattern engine runs out of stack on it: all of it is one match
+at the end of a text, else all but the last sign, which begins what follows.
 
 Tasks read the rank file from the path they are given (the installed package
 has it on every machine) and build the encoder once per process. Work is per
@@ -21,6 +23,7 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import re
 from collections.abc import Iterator
 
 import public_tokenizers
@@ -47,6 +50,10 @@ _SAFE = regex.compile(
 )
 
 
+_GAP = 4096
+_LONG_WHITE = re.compile(rf"[{_WHITE}]{{{_GAP},}}")
+
+
 @functools.lru_cache(maxsize=4)
 def encoder(path: str) -> tiktoken.Encoding:
     with open(path, "rb") as f:
@@ -67,7 +74,13 @@ def pieces(text: str, size: int) -> Iterator[str]:
 
 
 def encode(enc: tiktoken.Encoding, text: str, size: int = 1 << 16) -> Iterator[list[int]]:
-    for piece in pieces(text, size):
+    start = 0
+    for gap in _LONG_WHITE.finditer(text) if len(text) >= _GAP else ():
+        for piece in pieces(text[start : gap.start()], size):
+            yield enc.encode_ordinary(piece)
+        start = gap.end() - (gap.end() < len(text))
+        yield enc._encode_single_piece(text[gap.start() : start])
+    for piece in pieces(text[start:], size):
         yield enc.encode_ordinary(piece)
 
 

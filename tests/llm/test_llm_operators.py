@@ -265,6 +265,37 @@ def test_mix_near_targets(spark, docs, plain):
     assert again == {d: r["taken"] for d, r in rows.items()}
 
 
+@pytest.mark.parametrize("others", [0, 3, 40])
+def test_mix_of_repeated_rows(spark, others):
+    """A source of equal rows is taken up to its target, not whole or twice."""
+    rows = [(1, "a b c d e f g h i j", "a")] * 100 + [(2, "x y z", "b")] * 7
+    rows += [(10 + i, "w " * (5 + i % 9), "b") for i in range(others)] + [(None, "n n", None)] * 30
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(3)
+    target, times = mix_times(rows)
+    report = mixing.mix_report(df).collect()
+    assert sorted((r["doc_id"] or 0, r["taken"]) for r in report) == sorted(
+        (d or 0, k * len(t.split())) for (d, t, _), k in zip(rows, times))
+    for s in target:
+        taken = sum(r["taken"] for r in report if r["source"] == s)
+        assert abs(taken - target[s]) <= 20
+    assert sorted(r["doc_id"] or 0 for r in mixing.mixed(df).collect()) == sorted(
+        d or 0 for (d, *_), k in zip(rows, times) for _ in range(k))
+
+
+@pytest.mark.parametrize("run", ["\n", " ", "\u3000", " \n", "a", "7", "!", "é"])
+def test_long_runs_are_encoded(run):
+    """Runs of two million signs end no worker; short ones of the same kind agree with the tokenizer."""
+    for tail in ("", "x", " x", "!", "7"):
+        text = "go" + run * 2500 + tail
+        ids = [t for part in bpe.encode(whole(), text) for t in part]
+        assert ids == whole().encode_ordinary(text)
+        text = "go" + run * 5000 + tail
+        assert [t for part in bpe.encode(whole(), text) for t in part] == whole().encode_ordinary(text)
+    long = "go" + run * (2_000_000 // len(run)) + " end"
+    ids = [t for part in bpe.encode(whole(), long) for t in part]
+    assert whole().decode_bytes(ids) == long.encode()
+
+
 def test_quality_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.01"
     rows = QUERIES["op7_quality_model"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out")

@@ -11,12 +11,14 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.operators.newton import cross_validated
+
 
 def auc_evaluator(label: str = "label") -> BinaryClassificationEvaluator:
     return BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC", numBins=0)
@@ -76,12 +78,23 @@ def importances(model: Model, names: Sequence[str], df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 
+def fitted(estimator: Estimator, df: DataFrame) -> Model:
+    """The fitted model without its training summary.
+
+    A summary holds the session, and a session that has served an Observation cannot be sent to tasks.
+    """
+    model = estimator.fit(df)
+    if getattr(model, "hasSummary", False):
+        model._java_obj.setSummary(df.sparkSession._jvm.scala.Option.empty())
+    return model
+
+
 def fold_scores(df: DataFrame, model: Estimator, fold: str, k: int, evaluator: Evaluator, parallelism: int = 4) -> list[float]:
     """Score on each fold of a model fitted on the others; folds are plain filters on a column."""
 
     def one(i: int) -> float:
-        fitted = model.copy().fit(df.where(F.col(fold) != i))
-        return evaluator.evaluate(fitted.transform(df.where(F.col(fold) == i)))
+        trained = fitted(model.copy(), df.where(F.col(fold) != i))
+        return evaluator.evaluate(trained.transform(df.where(F.col(fold) == i)))
 
     with ThreadPoolExecutor(parallelism) as pool:
         return list(pool.map(one, range(k)))
@@ -93,28 +106,20 @@ def cv_score(df: DataFrame, model: Estimator, fold: str, k: int, evaluator: Eval
     return statistics.fmean(scores), statistics.pstdev(scores) / 2
 
 
-def blocks(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """One one-hot vector per feature, built once and used in every round."""
-    idx = [f"{f}__i" for f in features]
-    hot = [f"{f}__v" for f in features]
-    indexed = StringIndexer(inputCols=list(features), outputCols=idx, handleInvalid="keep").fit(df).transform(df)
-    return OneHotEncoder(inputCols=idx, outputCols=hot, dropLast=False).fit(indexed).transform(indexed)
+def forward_selection(
+    score: Callable[[Sequence[str]], float], features: Sequence[str], ahead: Callable[[list[list[str]]], None] | None = None
+) -> list[tuple[str, float]]:
+    """Add the best feature until the score stops rising; the one that did not help is dropped.
 
-
-def subset_score(built: DataFrame, subset: Sequence[str], model: Callable[[], Estimator], fold: str, k: int, evaluator: Evaluator) -> float:
-    ready = assemble(built, [f"{f}__v" for f in subset])
-    return cv_score(ready, model(), fold, k, evaluator, parallelism=2)[0]
-
-
-def forward_selection(score: Callable[[Sequence[str]], float], features: Sequence[str], parallel: int = 4) -> list[tuple[str, float]]:
-    """Add the best feature until the score stops rising; the one that did not help is dropped."""
+    ``ahead`` is told the sets of a round before they are scored one by one.
+    """
     chosen: list[tuple[str, float]] = []
     while len(chosen) < len(features):
         have = [f for f, _ in chosen]
         rest = [f for f in features if f not in have]
-        with ThreadPoolExecutor(parallel) as pool:
-            scores = list(pool.map(lambda f: (score([*have, f]), f), rest))
-        best, name = max(scores)
+        if ahead:
+            ahead([[*have, f] for f in rest])
+        best, name = max((score([*have, f]), f) for f in rest)
         if chosen and best <= chosen[-1][1]:
             break
         chosen.append((name, best))
@@ -124,11 +129,15 @@ def forward_selection(score: Callable[[Sequence[str]], float], features: Sequenc
 EARLY_SHARE = 0.3679  # 1 / e
 
 
-def approximate_selection(score: Callable[[Sequence[str]], float], features: Sequence[str], seed: int = 1) -> list[tuple[str, float]]:
+def approximate_selection(
+    score: Callable[[Sequence[str]], float], features: Sequence[str], seed: int = 1,
+    ahead: Callable[[list[list[str]]], None] | None = None,
+) -> list[tuple[str, float]]:
     """Forward selection in shuffled order with pruning.
 
     A candidate worse than the best score so far is out for good; once 1/e of
-    a round has been tried, the first improvement ends the round.
+    a round has been tried, the first improvement ends the round. ``ahead`` is
+    told what a round may score.
     """
     rng = random.Random(seed)
     remain = list(features)
@@ -138,6 +147,8 @@ def approximate_selection(score: Callable[[Sequence[str]], float], features: Seq
         order = rng.sample(remain, len(remain))
         enough = EARLY_SHARE * len(remain)
         kept: list[tuple[float, str]] = []
+        if ahead:
+            ahead([[*(c for c, _ in chosen), f] for f in order])
         for tried, f in enumerate(order, 1):
             s = score([*(c for c, _ in chosen), f])
             if s < best_so_far:
@@ -163,11 +174,10 @@ def c_grid(current: float, low: float = -3.0, high: float = 4.0, steps: int = 20
     return [current, *[2.0 ** (low + (high - low) * i / (steps - 1)) for i in range(steps)]]
 
 
-def sweep_c(df: DataFrame, n: int, fold: str, k: int, evaluator: Evaluator, values: Sequence[float], parallel: int = 4) -> list[tuple[float, float]]:
-    """(C, cross-validated score) per value."""
-    with ThreadPoolExecutor(parallel) as pool:
-        scores = pool.map(lambda c: cv_score(df, logistic(c, n), fold, k, evaluator, parallelism=2)[0], values)
-        return list(zip(values, scores))
+def sweep_c(rows: DataFrame, k: int, values: Sequence[float]) -> list[tuple[float, float]]:
+    """(C, cross-validated AUC) per value; all values and folds are fitted from the same passes over ``rows``."""
+    scores, _ = cross_validated(rows, [(c, None) for c in values], k)
+    return list(zip(values, scores))
 
 
 def best_c(scores: Sequence[tuple[float, float]]) -> tuple[float, float]:
@@ -181,11 +191,11 @@ def out_of_fold(df: DataFrame, models: Mapping[str, Estimator], fold: str, k: in
     parts = []
     jobs = [(i, m) for i in range(k) for m in models.values()]
     with ThreadPoolExecutor(4) as pool:
-        fitted = iter(list(pool.map(lambda j: j[1].fit(df.where(F.col(fold) != j[0])), jobs)))
+        trained = iter(list(pool.map(lambda j: fitted(j[1], df.where(F.col(fold) != j[0])), jobs)))
     for i in range(k):
         held = df.where(F.col(fold) == i)
         for name in models:
-            held = next(fitted).transform(held).withColumn(name, positive()).drop("rawPrediction", "probability", "prediction")
+            held = next(trained).transform(held).withColumn(name, positive()).drop("rawPrediction", "probability", "prediction")
         parts.append(held.select(*keep, *models))
     out = parts[0]
     for p in parts[1:]:
@@ -197,13 +207,15 @@ def per_group(
     train: DataFrame, df: DataFrame, group: str, values: Sequence[str], model: Callable[[], Estimator],
     keep: Sequence[str], parallel: int = 4,
 ) -> DataFrame:
-    """One model for each of the named groups, fitted side by side; rows of other groups get a null prediction."""
+    """One model for each of the named groups, fitted side by side; rows of all other groups, or none, get a pooled one."""
+    parts = [F.col(group) == v for v in values]
     with ThreadPoolExecutor(parallel) as pool:
-        fitted = list(pool.map(lambda v: model().fit(train.where(F.col(group) == v)), values))
+        pooled = pool.submit(lambda: fitted(model(), train))
+        trained = list(pool.map(lambda part: fitted(model(), train.where(part)), parts))
     others = F.col(group).isNull() | ~F.col(group).isin(list(values))
-    out = df.where(others).select(*keep, F.lit(None).cast("double").alias("p"))
-    for v, m in zip(values, fitted):
-        out = out.unionByName(m.transform(df.where(F.col(group) == v)).select(*keep, positive().alias("p")))
+    out = pooled.result().transform(df.where(others)).select(*keep, positive().alias("p"))
+    for part, m in zip(parts, trained):
+        out = out.unionByName(m.transform(df.where(part)).select(*keep, positive().alias("p")))
     return out
 
 

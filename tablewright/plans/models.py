@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.functions.scalar import crosses, draw
-from tablewright.operators import folds, metrics
+from tablewright.operators import folds, metrics, newton
 from tablewright.operators import models as M
 from tablewright.operators import project as P
 from tablewright.operators.clean import apply_scale, fit_standardise
 from tablewright.operators.joins import left_join_default
+from tablewright.operators.newton import spread
 from tablewright.plans.fixtures import SQL_CELLS, vectors
 from tablewright.plans.registry import Tables, query
 from tablewright.plans.relational import sql_draw
@@ -153,7 +154,7 @@ def ready(t: Tables, k: int = 3) -> tuple[DataFrame, DataFrame]:
     base = durable(described_documents(t))  # the texts are read once
     labelled = F.col("label").isNotNull()
     scaled = apply_scale(base, fit_standardise(base.where(labelled), NUM)).na.fill(0.0, NUM)
-    everything = M.assemble(scaled, NUM)
+    everything = M.assemble(spread(scaled, "doc_id"), NUM)
     return folds.stratified(everything.where(labelled), "doc_id", "label", k).persist(), everything
 
 
@@ -166,7 +167,7 @@ def logreg(t: Tables) -> DataFrame:
     """Fitted on the labelled documents, applied to all."""
     labelled, everything = ready(t)
     data = M.balanced_weights(labelled, "label")
-    model = M.logistic(4.0, data.count(), weight="weight").fit(data)
+    model = M.fitted(M.logistic(4.0, data.count(), weight="weight"), data)
     labelled.unpersist()
     return probabilities(model.transform(everything))
 
@@ -188,7 +189,7 @@ def submission(t: Tables) -> DataFrame:
 @query("rf_classifier")
 def rf_classifier(t: Tables) -> DataFrame:
     data, everything = ready(t)
-    model = M.forest_classifier(20, 3, 5).fit(data)
+    model = M.fitted(M.forest_classifier(20, 3, 5), data)
     data.unpersist()
     return probabilities(model.transform(everything))
 
@@ -268,16 +269,21 @@ def cv_report(t: Tables) -> DataFrame:
 
 
 CATS = ["lang", "source", "size", "lang_x_source"]
+#: Folds of feature selection and of the sweep over C.
+SELECTION_FOLDS, SWEEP_FOLDS = 8, 10
 
 
-def category_scorer(t: Tables):
-    """Cross-validated AUC of a set of one-hot blocks, built once."""
-    base = durable(described_documents(t).where("label is not null"))
+def category_scorer(t: Tables) -> newton.Selection:
+    """Cross-validated AUC of sets of one-hot features; the texts are not read, and rows of one kind are counted once."""
+    base = t.documents.select("doc_id", "lang", "source", F.floor(F.log1p("n_chars")).cast("string").alias("size"))
+    label = F.col("quality").cast("double").alias("label")
+    base = base.join(t.labels.where("quality is not null").select("doc_id", label), "doc_id")
     crossed = base.select("doc_id", "label", "lang", "source", "size", *[c.cast("string") for c in crosses(["lang", "source"], 2)])
-    crossed = crossed.toDF("doc_id", "label", "lang", "source", "size", "lang_x_source")
-    built = M.blocks(folds.stratified(crossed, "doc_id", "label", 2), CATS).persist()
-    n = built.count()
-    return lambda subset: M.subset_score(built, subset, lambda: M.logistic(4.0, n), "fold", 2, M.auc_evaluator())
+    crossed = crossed.toDF("doc_id", "label", *CATS)
+    dealt = folds.stratified(crossed, "doc_id", "label", SELECTION_FOLDS)
+    counted = durable(newton.counted_rows(dealt, CATS, "label", "fold"))
+    found = newton.levels(counted, CATS)
+    return newton.Selection(newton.one_hot_rows(counted, found), found, SELECTION_FOLDS)
 
 
 def _selection(t: Tables, chosen: list[tuple[str, float]]) -> DataFrame:
@@ -287,18 +293,26 @@ def _selection(t: Tables, chosen: list[tuple[str, float]]) -> DataFrame:
 
 @query("forward_selection")
 def forward_selection(t: Tables) -> DataFrame:
-    return _selection(t, M.forward_selection(category_scorer(t), CATS))
+    score = category_scorer(t)
+    return _selection(t, M.forward_selection(score, CATS, score.ahead))
 
 
 @query("approx_selection")
 def approx_selection(t: Tables) -> DataFrame:
-    return _selection(t, M.approximate_selection(category_scorer(t), CATS, seed=3))
+    score = category_scorer(t)
+    return _selection(t, M.approximate_selection(score, CATS, 3, score.ahead))
+
+
+def design_rows(data: DataFrame) -> DataFrame:
+    """Assembled rows as the joint fits read them, each of weight 1."""
+    return data.select(vector_to_array("features").alias("features"), "label", F.lit(1.0).alias("weight"), "fold")
 
 
 @query("c_sweep")
 def c_sweep(t: Tables) -> DataFrame:
-    data, _ = ready(t, 2)
-    scores = M.sweep_c(data, data.count(), "fold", 2, M.auc_evaluator(), M.c_grid(1.0))
+    data, _ = ready(t, SWEEP_FOLDS)
+    scores = M.sweep_c(design_rows(data), SWEEP_FOLDS, M.c_grid(1.0))
+    data.unpersist()
     best, _ = M.best_c(scores)
     rows = [(float(c), float(s), c == best) for c, s in scores]
     return t.spark.createDataFrame(rows, "c double, auc double, best boolean")
@@ -315,10 +329,10 @@ def stacking(t: Tables) -> DataFrame:
     known = M.out_of_fold(level2, {"p": M.logistic(4.0, n)}, "fold", 3, ["doc_id", "label"])
     rest = everything.where("label is null")
     for name, model in models.items():
-        rest = model.fit(data).transform(rest).withColumn(name, M.positive())
+        rest = M.fitted(model, data).transform(rest).withColumn(name, M.positive())
         rest = rest.drop("rawPrediction", "probability", "prediction")
     rest = M.assemble(rest.drop("features"), list(models))
-    others = M.logistic(4.0, n).fit(level2).transform(rest).select("doc_id", "label", M.positive().alias("p"))
+    others = M.fitted(M.logistic(4.0, n), level2).transform(rest).select("doc_id", "label", M.positive().alias("p"))
     data.unpersist()
     return known.unionByName(others).select("doc_id", "label", F.round("p", 6).alias("p"))
 
@@ -329,7 +343,7 @@ LANGS = ["de", "en", "es", "fr"]
 
 @query("group_models")
 def group_models(t: Tables) -> DataFrame:
-    """One model per language, named as an argument; documents of other languages get none."""
+    """One model per language, named as an argument; documents of other languages get the one fitted on all."""
     data, everything = ready(t)
     return M.per_group(data, everything, "lang", LANGS, lambda: M.forest_classifier(10, 2, 5), ["doc_id", "lang", "label"])
 

@@ -97,7 +97,7 @@ def row_key(doc_id, text):
     return int(np.uint64(xxhash.xxh64_intdigest((text or "").encode(), first)).astype(np.int64))
 
 
-def dedup_lines(docs, radius=3, similarity=0.8):
+def dedup_lines(docs, radius=64, similarity=0.8):
     """[(doc_id, text)] -> cleaned texts in the same order."""
     forms, seen = {}, []
     for doc_id, text in docs:
@@ -109,6 +109,8 @@ def dedup_lines(docs, radius=3, similarity=0.8):
                 seen.append(((doc_id is None, doc_id or 0, key, number), form))
     names = list(forms)
     fps = np.array([forms[f] for f in names], np.uint64)
+    signs = np.array([np.bincount([ord(c) & 63 for c in f], minlength=64) for f in names]).reshape(-1, 64)
+    length = signs.sum(1)
     root = list(range(len(names)))
 
     def find(i):
@@ -117,7 +119,12 @@ def dedup_lines(docs, radius=3, similarity=0.8):
         return i
 
     for i in range(len(names)):
-        for j in np.flatnonzero(np.bitwise_count(fps[i + 1 :] ^ fps[i]) <= radius) + i + 1:
+        close = np.bitwise_count(fps[i + 1 :] ^ fps[i]) <= radius
+        # as many edits at least as signs that only one of both has
+        more = signs[i + 1 :] - signs[i]
+        least = np.maximum(np.maximum(more, 0).sum(1), np.maximum(-more, 0).sum(1))
+        close &= least <= (1 - similarity) * np.maximum(length[i + 1 :], length[i]) + 1e-9
+        for j in np.flatnonzero(close) + i + 1:
             a, b = names[i], names[j]
             if edits(a, b) <= int((1 - similarity) * max(len(a), len(b)) + 1e-9):
                 x, y = find(i), find(int(j))
@@ -140,6 +147,16 @@ def near_groups(texts, radius=4):
     return fps, groups(len(fps), lambda i, j: near(fps[i], fps[j], radius))
 
 
+def jaccard_groups(texts, width=5, least=0.8):
+    """Groups of texts by the Jaccard similarity of their shingle sets; texts without words are one group."""
+    sets = []
+    for t in texts:
+        w = words("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
+        sets.append(frozenset(" ".join(w[i : i + width]) for i in range(max(1, len(w) - width + 1))) if w else frozenset())
+    like = lambda a, b: a == b or bool(a and b) and len(a & b) >= least * len(a | b)
+    return groups(len(sets), lambda i, j: like(sets[i], sets[j]))
+
+
 def mix_times(docs, weights=(5, 2, 1), percent=150, repeats=2, seed=17):
     """[(doc_id, text, source)] -> (targets by source, copies taken per document)."""
     md5 = lambda s: hashlib.md5(s.encode()).hexdigest()

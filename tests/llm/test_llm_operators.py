@@ -10,7 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
-from brute import dedup_lines, edits, groups, judge, mix_times, near, near_groups, repeated_words
+from brute import dedup_lines, edits, groups, jaccard_groups, judge, mix_times, near, near_groups, repeated_words
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -315,7 +315,7 @@ def test_pipeline(spark, plain):
     got = sorted((r["doc_id"], r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in corpus_pipeline.run(spark, SF).collect())
     rows = [(d, clean, s) for d, t, s in plain for kept, clean in [judge(t)] if kept]
     rows = [(d, t, s) for (d, _, s), t in zip(rows, dedup_lines([(d, t) for d, t, _ in rows]))]
-    _, roots = near_groups([t for _, t, _ in rows])
+    roots = jaccard_groups([t for _, t, _ in rows])
     rows = [r for i, r in enumerate(rows) if roots[i] == i]
     want = []
     for (d, t, _), k in zip(rows, mix_times(rows)[1]):

@@ -2,15 +2,15 @@
 
 1. Texts are cut into runs of letters and counted per task, so a word that
    fills a third of the corpus is a row per task.
-2. Words are sorted by length and by how often letters of eight classes occur
-   in them, and packed into tiles: matrices of code points, padded to one
-   width. An edit changes the length by one at most and the class counts by two
-   at most, so tile pairs whose ranges are further apart cannot hold a pair.
-   The same rule skips parts of tiles.
-3. Two words of length m and n >= m differ by one insertion, deletion or
-   replacement exactly if the length of their common prefix and that of their
-   common suffix reach n - 1 together. Both are counted for all pairs of two
-   parts at once, column by column.
+2. Two words, the longer of n letters, differ by one insertion, deletion or
+   replacement exactly if the lengths of their common prefix and suffix reach
+   n - 1 together. So one of both is at least half of n: words are dealt out by
+   their first and by their last half, once for either length they may meet,
+   and only words in one such bucket are compared. A bucket too large for one
+   task is split into parts, and each pair of parts is a task's work.
+3. In a bucket, words are a matrix of code points, padded to one width. Common
+   prefixes and suffixes of all pairs of two blocks are counted column by
+   column. A pair that meets on both halves counts for the first one.
 4. A task sends on one row per word it found any partner for: how many, and
    the best of them. Partial results are added up by word.
 5. A word's form is its commonest partner if at least twice as common. Forms
@@ -29,18 +29,20 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import discard, documents, staged, whole
 from tablewright.llm.registry import query
 
 RUN = re.compile(r"[a-zÀ-ÿ]+")
-TILE = 2048
-PART = 128
-CLASSES = 8
+#: Words of a bucket that one task compares with as many others.
+PART = 4096
+#: Words of a bucket that are compared row against shifted row, for all such buckets at once.
+SMALL = 24
+BLOCK = 512
+_CHUNK = 16_384
 _HELD = 200_000
-_CELLS = 1 << 20
 _SEGMENT = 1 << 20
 
 
@@ -91,165 +93,164 @@ def word_counts(docs: DataFrame, spell: Callable[[str, str], str] | None = None,
     return counted.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= seen)
 
 
-def class_counts(points: np.ndarray) -> np.ndarray:
-    """(words, CLASSES) how often letters of each class occur; padding (0) counts for none."""
-    kinds = np.where(points > 0, points * np.uint32(2654435761) >> np.uint32(29), CLASSES)
-    return np.stack([(kinds == k).sum(1) for k in range(CLASSES)], 1).astype(np.int32)
-
-
-def matrix(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Code points of each word, padded with zeros on the right, and the lengths."""
+def matrix(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of each word, padded with zeros on the right, the same from the last letter on, and the lengths."""
     length = np.array([len(w) for w in words], np.int32)
-    out = np.zeros((len(words), int(length.max(initial=0))), np.uint32)
-    for i, w in enumerate(words):
-        out[i, : len(w)] = np.frombuffer(w.encode("utf-32-le"), np.uint32)
-    return out, length
-
+    points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+    place = np.arange(int(length.max(initial=0)))
+    inside = place < length[:, None]
+    left = np.zeros(inside.shape, np.uint32)
+    left[inside] = points
+    mirrored = np.maximum(length[:, None] - 1 - place, 0)
+    return left, np.where(inside, np.take_along_axis(left, mirrored, 1), 0), length
 
-def aligned_right(points: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """The same words with the padding on the left, read from their last letter on."""
-    at = length[:, None] - 1 - np.arange(points.shape[1])
-    return np.where(at >= 0, np.take_along_axis(points, np.maximum(at, 0), 1), 0)
 
-
-def shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Length of the common beginning of every row of ``a`` and every row of ``b``; padding never agrees."""
+def shared(a: np.ndarray, b: np.ndarray, known: int) -> np.ndarray:
+    """Length of the common beginning of every row of ``a`` and every row of ``b``, the first ``known`` being equal."""
     same = np.ones((len(a), len(b)), bool)
-    count = np.zeros((len(a), len(b)), np.int32)
-    for k in range(min(a.shape[1], b.shape[1])):
-        same &= (a[:, k, None] == b[None, :, k]) & (a[:, k] > 0)[:, None]
+    count = np.full((len(a), len(b)), known, np.int32)
+    for k in range(known, a.shape[1]):
+        same &= (a[:, k, None] == b[None, :, k]) & (a[:, k] > 0)[:, None]  # padding never agrees
         if not same.any():
             break
         count += same
     return count
 
 
-class Words:
-    """A tile: words with counts, as matrices from both ends, and ranges of its parts."""
-
-    def __init__(self, words: list[str], n: list[int]) -> None:
-        self.words, self.n = words, np.array(n, np.int64)
-        self.left, self.length = matrix(words)
-        self.right = aligned_right(self.left, self.length)
-        kinds = class_counts(self.left)
-        at = np.arange(0, len(words), PART)
-        self.low, self.high = np.minimum.reduceat(kinds, at), np.maximum.reduceat(kinds, at)
-        self.short, self.long = np.minimum.reduceat(self.length, at), np.maximum.reduceat(self.length, at)
-
-    def part(self, i: int) -> slice:
-        return slice(i * PART, min((i + 1) * PART, len(self.words)))
-
-
-def pairs(x: Words, y: Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Positions (in x, in y) of words one edit apart, part by part."""
-    for i in range(len(x.low)):
-        gap = np.maximum(0, np.maximum(x.low[i] - y.high, y.low - x.high[i])).sum(1)
-        apart = np.maximum(x.short[i] - y.long, y.short - x.long[i])
-        for j in np.flatnonzero((gap <= 2) & (apart <= 1)):
-            p, q = x.part(i), y.part(j)
-            longer = np.maximum(x.length[p, None], y.length[None, q])
-            shorter = np.minimum(x.length[p, None], y.length[None, q])
-            both = shared(x.left[p], y.left[q]) + shared(x.right[p], y.right[q])
-            # equal words share all of it from both ends, and are no pair
-            hit = np.nonzero((both >= longer - 1) & (longer - shorter <= 1) & (both < 2 * longer))
-            if len(hit[0]):
-                yield hit[0] + p.start, hit[1] + q.start
-
-
-def tiles(words: DataFrame, size: int = TILE) -> DataFrame:
-    """Staged (tile, words, ns, shortest, longest, low, high) of the distinct words with their counts."""
-    ordered = words.select("word", "n", F.length("word").alias("length"), _class_columns().alias("kinds")).sort("length", "kinds", "word")
-
-    def one(rows: list[tuple]) -> pa.RecordBatch:
-        word, n = map(list, zip(*rows))
-        kinds = class_counts(matrix(word)[0])
-        cols = [
-            pa.array([word[0]], pa.string()), pa.array([word], pa.list_(pa.string())), pa.array([n], pa.list_(pa.int64())),
-            pa.array([min(map(len, word))], pa.int32()), pa.array([max(map(len, word))], pa.int32()),
-            *[pa.array([k.tolist()], pa.list_(pa.int32())) for k in (kinds.min(0), kinds.max(0))],
-        ]
-        return pa.RecordBatch.from_arrays(cols, ["tile", "words", "ns", "shortest", "longest", "low", "high"])
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[tuple] = []
-        for batch in batches:
-            for word, n in zip(batch["word"].to_pylist(), batch["n"].to_pylist()):
-                # the longest word comes last: a tile stays small however long words get
-                if len(waiting) == size or waiting and (len(waiting) + 1) * len(word) > _CELLS:
-                    yield one(waiting)
-                    waiting = []
-                waiting.append((word, n))
-        if waiting:
-            yield one(waiting)
-
-    schema = "tile string, words array<string>, ns array<bigint>, shortest int, longest int, low array<int>, high array<int>"
-    return staged(ordered.select("word", "n").mapInArrow(pack, schema), "word-tiles")
-
-
-def _class_columns() -> Column:
-    """How often letters of each class occur: the numbers of ``class_counts``, for the order of the words."""
-    letters = [chr(c) for c in [*range(ord("a"), ord("z") + 1), *range(0xC0, 0x100)]]
-    of = lambda c: ((ord(c) * 2654435761) & 0xFFFFFFFF) >> 29
-    lost = lambda k: F.translate("word", "".join(c for c in letters if of(c) == k), "")
-    return F.array(*[F.length("word") - F.length(lost(k)) for k in range(CLASSES)])
-
-
-def tile_pairs(packed: DataFrame) -> DataFrame:
-    """(l_tile, r_tile) of tiles that may hold a pair; met by word length, so no two tiles are paired for nothing."""
-    ends = ["tile", "shortest", "longest", "low", "high"]
-    index = packed.select(*ends)
-    left = index.select(
-        *[F.col(c).alias(f"l_{c}") for c in ends], F.explode(F.sequence(F.col("shortest") - 1, F.col("longest") + 1)).alias("length")
+def row_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Length of the common beginning of each row of ``a`` and the same row of ``b``."""
+    differ = np.ones((len(a), a.shape[1] + 1), bool)
+    differ[:, :-1] = (a != b) | (a == 0)
+    return differ.argmax(1)
+
+
+class Chunk:
+    """Whole buckets of words, one after another, compared within each."""
+
+    def __init__(self, level: list[int], first: list[bool], words: list[str]) -> None:
+        self.level, self.first = np.array(level, np.int32), np.array(first, bool)
+        self.left, self.right, self.length = matrix(words)
+
+    def one_edit(self, prefix, suffix, level, first, a_length, b_length):
+        """Whether pairs are one edit apart and belong to the bucket they met in."""
+        apart = (prefix + suffix >= level - 1) & (np.maximum(a_length, b_length) == level)
+        return apart & (first | (prefix < level // 2))
+
+    def small(self, bucket: np.ndarray, small: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for step in range(1, SMALL):
+            a = np.flatnonzero((bucket[step:] == bucket[:-step]) & small[step:])
+            if not len(a):
+                break
+            b = a + step
+            prefix, suffix = row_shared(self.left[a], self.left[b]), row_shared(self.right[a], self.right[b])
+            hit = self.one_edit(prefix, suffix, self.level[a], self.first[a], self.length[a], self.length[b])
+            yield a[hit], b[hit]
+
+    def large(self, x: np.ndarray, y: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of rows ``x`` and ``y`` of one bucket, block by block; of ``x`` alone if they are the same."""
+        level, first = int(self.level[x[0]]), bool(self.first[x[0]])
+        half, same = level // 2, x is y
+        for s in range(0, len(x), BLOCK):
+            p = x[s : s + BLOCK]
+            for t in range(s if same else 0, len(y), BLOCK):
+                q = y[t : t + BLOCK]
+                prefix = shared(self.left[p, :level], self.left[q, :level], half if first else 0)
+                suffix = shared(self.right[p, :level], self.right[q, :level], 0 if first else half)
+                hit = self.one_edit(prefix, suffix, level, first, self.length[p, None], self.length[None, q])
+                i, j = np.nonzero(np.triu(hit, 1) if same and s == t else hit)
+                if len(i):
+                    yield p[i], q[j]
+
+
+def pairs(chunk: Chunk, bucket: np.ndarray, part: np.ndarray, across: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows one edit apart in each run of equal ``bucket``; where ``across``, of different parts only."""
+    cut = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]])
+    size = np.diff(cut)
+    is_small = (size <= SMALL) & ~across[cut[:-1]]
+    yield from chunk.small(bucket, np.repeat(is_small, size))
+    for k in np.flatnonzero(~is_small):
+        rows = np.arange(cut[k], cut[k + 1])
+        if across[cut[k]]:
+            low = part[rows] == part[rows].min()
+            if not low.all():
+                yield from chunk.large(rows[low], rows[~low])
+        else:
+            yield from chunk.large(rows, rows)
+
+
+def dealt(words: DataFrame, size: int) -> DataFrame:
+    """(level, first, half, i, j, part, word, n), sorted: words by the halves they can share with others.
+
+    ``level`` is the length of the longer word of a pair. Buckets of one word
+    are left out, those of more than ``size`` are dealt out by pairs of parts.
+    """
+    length = F.length("word")
+    keys = []
+    for more in (0, 1):
+        half = F.floor((length + more) / 2).cast("int")
+        keys.append(F.struct((length + more).alias("level"), F.lit(True).alias("first"), F.left("word", half).alias("half")))
+        keys.append(F.struct((length + more).alias("level"), F.lit(False).alias("first"), F.right("word", half).alias("half")))
+    rows = words.select("word", "n", F.explode(F.array(*keys)).alias("key")).select("key.*", "word", "n")
+    bucket = ["level", "first", "half"]
+    sizes = rows.groupBy(*bucket).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    parts = F.ceil(F.col("rows") / size).cast("int")
+    split = rows.join(sizes, bucket).withColumn("parts", parts)
+    split = split.withColumn("part", F.pmod(F.xxhash64("word"), F.col("parts")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
+    out = split.select(*bucket, "part", "word", "n", other).select(
+        *bucket, F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "word", "n"
     )
-    right = index.select(*[F.col(c).alias(f"r_{c}") for c in ends], F.explode(F.sequence("shortest", "longest")).alias("length"))
-    below = F.zip_with("l_low", "r_high", lambda a, b: a - b)
-    above = F.zip_with("r_low", "l_high", lambda a, b: a - b)
-    gap = F.aggregate(F.zip_with(below, above, lambda a, b: F.greatest(a, b, F.lit(0))), F.lit(0), lambda s, v: s + v)
-    met = left.join(right, "length").where((F.col("l_tile") <= F.col("r_tile")) & (gap <= 2))
-    return met.select("l_tile", "r_tile").distinct()
+    return out.repartition(*bucket, "i", "j").sortWithinPartitions(*bucket, "i", "j")
 
 
-def partners(words: DataFrame, size: int = TILE) -> DataFrame:
+def partners(words: DataFrame, size: int = PART) -> DataFrame:
     """(word, n_near, best, best_n) of words that have any partner, from ``words`` (word, n)."""
-    packed = tiles(words, size)
-    x, y = (packed.select(F.col("tile").alias(f"{s}_tile"), F.col("words").alias(f"{s}_words"), F.col("ns").alias(f"{s}_ns")) for s in "lr")
-    # as many tasks as pairs allow, however narrow they are
-    work = tile_pairs(packed).repartition(words.sparkSession.sparkContext.defaultParallelism * 4, "l_tile", "r_tile")
-
-    def add(into: dict, own: Words, other: Words, i: np.ndarray, j: np.ndarray) -> None:
-        for a, b in zip(i.tolist(), j.tolist()):
-            entry = into.get(own.words[a])
-            n, word = int(other.n[b]), other.words[b]
-            if entry is None:
-                into[own.words[a]] = [1, word, n]
-            else:
-                entry[0] += 1
-                if n > entry[2] or n == entry[2] and word < entry[1]:
-                    entry[1:] = word, n
+    names = ["level", "first", "half", "i", "j", "part", "word", "n"]
+
+    def found(rows: list[tuple]) -> pa.RecordBatch | None:
+        level, first, half, i, j, part, word, n = map(list, zip(*rows))
+        keys = list(zip(level, first, half, i, j))
+        new = np.array([a != b for a, b in zip(keys, [None, *keys])])
+        chunk, n = Chunk(level, first, word), np.array(n, np.int64)
+        met = pairs(chunk, np.cumsum(new), np.array(part), np.array(i) != np.array(j))
+        got = [hit for hit in met if len(hit[0])]
+        if not got:
+            return None
+        a, b = (np.concatenate(c) for c in zip(*got))
+        own, other = np.concatenate([a, b]), np.concatenate([b, a])
+        # rows of one word in several buckets are one owner; ranks follow the order of code points
+        names = {w: k for k, w in enumerate(sorted(set(word)))}
+        rank = np.array([names[w] for w in word])
+        order = np.lexsort((rank[other], -n[other], rank[own]))
+        _, at, count = np.unique(rank[own][order], return_index=True, return_counts=True)
+        mine, best = own[order][at], other[order][at]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([word[k] for k in mine]), pa.array(count, pa.int64()), pa.array([word[k] for k in best]), pa.array(n[best])],
+            ["word", "n_near", "best", "best_n"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[tuple] = []
         for batch in batches:
-            for k in range(batch.num_rows):
-                left, right = (Words(batch[f"{s}_words"][k].as_py(), batch[f"{s}_ns"][k].as_py()) for s in "lr")
-                same, got = batch["l_tile"][k].as_py() == batch["r_tile"][k].as_py(), {}
-                for i, j in pairs(left, right):
-                    add(got, left, right, i, j)
-                    if not same:  # a tile with itself gives each pair both ways
-                        add(got, right, left, j, i)
-                if got:
-                    n, best, best_n = zip(*got.values())
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(list(got)), pa.array(n, pa.int64()), pa.array(best), pa.array(best_n, pa.int64())],
-                        ["word", "n_near", "best", "best_n"],
-                    )
-
-    found = work.join(x, "l_tile").join(y, "r_tile").mapInArrow(run, "word string, n_near bigint, best string, best_n bigint")
+            waiting += zip(*(batch[c].to_pylist() for c in names))
+            if len(waiting) >= _CHUNK:
+                end = len(waiting) - 1
+                while end and waiting[end - 1][:5] == waiting[-1][:5]:
+                    end -= 1
+                if end:  # the last bucket may go on
+                    if (out := found(waiting[:end])) is not None:
+                        yield out
+                    waiting = waiting[end:]
+        if waiting and (out := found(waiting)) is not None:
+            yield out
+
+    near = dealt(words, size).mapInArrow(run, "word string, n_near bigint, best string, best_n bigint")
     first = F.struct((-F.col("best_n")).alias("less"), "best")
-    summed = found.groupBy("word").agg(F.sum("n_near").alias("n_near"), F.min(first).alias("first"))
+    summed = near.groupBy("word").agg(F.sum("n_near").alias("n_near"), F.min(first).alias("first"))
     return summed.select("word", "n_near", F.col("first.best").alias("best"), (-F.col("first.less")).alias("best_n"))
 
 
-def variants(words: DataFrame, size: int = TILE) -> DataFrame:
+def variants(words: DataFrame, size: int = PART) -> DataFrame:
     """(word, form, root, n, n_near, form_n) of every word in ``words`` (word, n)."""
     words = staged(words.select("word", "n"), "words")
     near = words.join(partners(words, size), "word", "left")

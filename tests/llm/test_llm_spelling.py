@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -62,7 +63,9 @@ def test_query(spark):
 @pytest.mark.parametrize("size", [7, 4096])
 def test_dense_words(spark, size, monkeypatch):
     """Words of few letters: many partners, ties, long chains of forms, tiles that hold one length or several."""
-    monkeypatch.setattr(spelling, "PART", 3)
+    monkeypatch.setattr(spelling, "SMALL", 5)
+    monkeypatch.setattr(spelling, "BLOCK", 4)
+    monkeypatch.setattr(spelling, "_CHUNK", 50)
     rng = random.Random(2)
     words = {"".join(rng.choice("abé") for _ in range(rng.randrange(1, 9))) for _ in range(300)}
     counts = {w: rng.choice([1, 1, 2, 4, 8, 16, 32, 64]) for w in words}
@@ -71,11 +74,24 @@ def test_dense_words(spark, size, monkeypatch):
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.lists(st.text("abÿ", min_size=1, max_size=7), min_size=1, max_size=12, unique=True))
-def test_prefix_and_suffix(words):
-    x = spelling.Words(words, [1] * len(words))
-    got = {(words[a], words[b]) for i, j in spelling.pairs(x, x) for a, b in zip(i, j)}
-    assert got == {(a, b) for a in words for b in words if one_edit(a, b)}
+@given(st.lists(st.text("abÿ", min_size=1, max_size=7), min_size=2, max_size=12, unique=True), st.booleans(), st.integers(1, 8))
+def test_prefix_and_suffix(words, first, level):
+    """A bucket compared row against shifted row and block by block gives the pairs that belong to it."""
+    words = [w for w in words if len(w) in (level - 1, level)]
+    half = level // 2
+    key = (lambda w: w[:half]) if first else (lambda w: w[len(w) - half :])
+    words = [w for w in words if key(w) == key(words[0])]
+    if len(words) < 2:
+        return
+    x = spelling.Chunk([level] * len(words), [first] * len(words), words)
+    rows, one = np.arange(len(words)), np.zeros(len(words))
+    want = {
+        frozenset((a, b)) for a in words for b in words
+        if one_edit(a, b) and max(len(a), len(b)) == level and (first or a[:half] != b[:half])
+    }
+    for found in (x.small(one, one == 0), x.large(rows, rows)):
+        got = [frozenset((words[a], words[b])) for i, j in found for a, b in zip(i, j)]
+        assert set(got) == want and len(got) == len(want)
 
 
 def test_edges(edge, nothing, spark, monkeypatch):

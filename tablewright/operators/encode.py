@@ -15,6 +15,9 @@ from tablewright.session import durable
 #: Runs of two or more letters, digits or underscores, in any script.
 TOKEN = r"[\p{L}\p{M}\p{N}_]{2,}"
 
+#: Columns that a table of dummies may have.
+MOST_DUMMIES = 5000
+
 
 def long_categories(df: DataFrame, row_id: str, cols: Sequence[str], *keep: str) -> DataFrame:
     """(row_id, feature, value) rows."""
@@ -44,7 +47,9 @@ def one_hot_long(df: DataFrame, row_id: str, vocabulary: DataFrame, cols: Sequen
 
 def one_hot_wide(df: DataFrame, vocabulary: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Dummy columns named col=value in place of the categorical ones; for many categories see ``one_hot_long``."""
-    rows = vocabulary.orderBy("idx").collect()
+    rows = vocabulary.orderBy("idx").limit(MOST_DUMMIES + 1).collect()
+    if len(rows) > MOST_DUMMIES:
+        raise ValueError(f"more than {MOST_DUMMIES} dummy columns; use one_hot_long")
     dummies = [
         F.coalesce((F.col(r["feature"]).cast("string") == r["value"]).cast("int"), F.lit(0)).alias(
             f"{r['feature']}={r['value']}"

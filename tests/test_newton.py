@@ -120,3 +120,14 @@ def test_rows_of_other_groups_get_the_pooled_model(spark):
     pooled = M.fitted(model(), df).transform(df).select("id", M.positive().alias("q"))
     both = out.where("g is distinct from 'x'").join(pooled, "id")
     assert both.count() == 400 and both.where("abs(p - q) > 1e-9").count() == 0
+
+
+def test_dummies_are_bounded(spark, monkeypatch):
+    from tablewright.operators import encode
+
+    monkeypatch.setattr(encode, "MOST_DUMMIES", 2)
+    df = spark.createDataFrame([("a",), ("b",), ("c",)], "c string")
+    two = encode.one_hot_wide(df, encode.fit_one_hot(df.where("c < 'c'"), ["c"]), ["c"])
+    assert sorted(map(tuple, two.collect())) == [(0, 0), (0, 1), (1, 0)]
+    with pytest.raises(ValueError, match="one_hot_long"):
+        encode.one_hot_wide(df, encode.fit_one_hot(df, ["c"]), ["c"])

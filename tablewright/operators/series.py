@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -131,3 +133,79 @@ def pair_dispersion(wide: DataFrame, stations: Sequence[str]) -> DataFrame:
         ]
     )
     return row.select(F.explode(F.array(*[f"p{k}" for k in range(len(pairs))])).alias("_p")).select("_p.*")
+
+
+def _pair_sums(block: int):
+    """Counts, sums and squared sums of differences for the pairs of two station blocks, from their (date, station) values."""
+
+    def matrices(part: pd.DataFrame, dates: int) -> tuple[np.ndarray, np.ndarray]:
+        values, there = np.zeros((dates, block)), np.zeros((dates, block))
+        at = part["_date"].to_numpy(), part["_pos"].to_numpy() % block
+        values[at], there[at] = part["_x"].to_numpy(), 1.0
+        return values, there
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        i, j = int(rows["_i"].iloc[0]), int(rows["_j"].iloc[0])
+        rows["_date"], names = pd.factorize(rows["_when"])
+        x, p = matrices(rows[rows["_pos"] // block == i], len(names))
+        y, q = matrices(rows[rows["_pos"] // block == j], len(names))
+        n = p.T @ q
+        total = x.T @ q - p.T @ y
+        squares = (x * x).T @ q + p.T @ (y * y) - 2.0 * (x.T @ y)
+        a, b = np.nonzero(np.triu(n, 1) if i == j else n)
+        sums = {"n": n[a, b].astype(np.int64), "total": total[a, b], "squares": squares[a, b]}
+        return pd.DataFrame({"_a": a + i * block, "_b": b + j * block, **sums})
+
+    return run
+
+
+def station_dispersion(
+    values: DataFrame,
+    when: str,
+    station: str,
+    value: str,
+    places: DataFrame | None = None,
+    block: int = 128,
+    parts: int = 8,
+) -> DataFrame:
+    """(a, b, n, distance, dispersion): variance (ddof 0) of the difference of two stations' series over common dates.
+
+    ``values`` are long rows, at most one per date and station; rows with a
+    null in any of the three columns say nothing. Stations are numbered by name
+    and dealt into blocks of ``block``; each value goes to the block pairs its
+    block is in, and matrix products over the dates give the counts and sums of
+    all pairs of two blocks at once, in ``parts`` shares of the dates. A group
+    is at most 2 * block stations by its share of the calendar, and neither
+    stations nor values come to the driver (one number does). Pairs have a < b
+    by name; pairs without a common date are left out.
+
+    ``places`` (station, x, y; one row each) adds the Euclidean distance, null
+    where a place is not known or not given.
+    """
+    rows = values.select(F.col(when).alias("_when"), F.col(station).alias("_s"), F.col(value).cast("double").alias("_x")).na.drop()
+    # differences are taken of centred values, as large common levels would cost digits
+    named = positioned(rows.groupBy("_s").agg(F.avg("_x").alias("_mean")), ["_s"], pos="_pos")
+    blocks = (named.count() + block - 1) // block
+    own, other = F.floor(F.col("_pos") / block).cast("int"), F.col("_other")
+    placed = lookup(rows, named, ["_s"], "inner").select(
+        "_when", (F.col("_x") - F.col("_mean")).alias("_x"), "_pos", F.pmod(F.xxhash64("_when"), F.lit(parts)).alias("_part"),
+        F.explode(F.sequence(F.lit(0), F.lit(max(blocks - 1, 0)))).alias("_other"),
+    )
+    dealt = placed.select("_when", "_x", "_pos", "_part", F.least(own, other).alias("_i"), F.greatest(own, other).alias("_j"))
+    sums = dealt.groupBy("_i", "_j", "_part").applyInPandas(
+        _pair_sums(block), "_a bigint, _b bigint, n bigint, total double, squares double"
+    )
+    pairs = sums.groupBy("_a", "_b").agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.sum("squares").alias("squares"))
+    n, mean = F.col("n"), F.col("total") / F.col("n")
+    # the station means moved every difference of a pair by the same amount
+    pairs = pairs.select("_a", "_b", "n", F.greatest(F.lit(0.0), F.col("squares") / n - mean * mean).alias("dispersion"))
+    x, y = F.lit(None).cast("double").alias("x"), F.lit(None).cast("double").alias("y")
+    sites = named.select("_s", "_pos", x, y)
+    if places is not None:
+        known = places.select(F.col(station).alias("_s"), F.col("x").cast("double"), F.col("y").cast("double"))
+        sites = lookup(named.select("_s", "_pos"), known, ["_s"])
+    for end in "ab":
+        site = sites.select(F.col("_pos").alias(f"_{end}"), F.col("_s").alias(end), F.col("x").alias(f"_x{end}"), F.col("y").alias(f"_y{end}"))
+        pairs = lookup(pairs, site, [f"_{end}"], "inner")
+    apart = F.sqrt(F.pow(F.col("_xa") - F.col("_xb"), 2) + F.pow(F.col("_ya") - F.col("_yb"), 2))
+    return pairs.select("a", "b", "n", apart.alias("distance"), "dispersion")

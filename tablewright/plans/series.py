@@ -101,16 +101,29 @@ def shift_seed(t: Tables) -> DataFrame:
 )
 def pair_dispersion(t: Tables) -> DataFrame:
     """Each order priority as a station with one value per day."""
-    stations = sorted(r[0] for r in t.orders.select("o_orderpriority").distinct().collect())
-    table = (
-        t.orders.groupBy(F.to_date("o_orderdate").alias("d"))
-        .pivot("o_orderpriority", stations)
-        .agg(F.avg(F.log("o_totalprice")))
-    )
-    safe = {s: f"s{i}" for i, s in enumerate(stations)}
-    out = Q.pair_dispersion(table.select(*[F.col(f"`{s}`").alias(n) for s, n in safe.items()]), list(safe.values()))
-    back = F.create_map(*[F.lit(v) for s, n in safe.items() for v in (n, s)])
-    return out.select(back[F.col("a")].alias("a"), back[F.col("b")].alias("b"), "n", F.round("dispersion", 6).alias("dispersion"))
+    day = F.to_date("o_orderdate").alias("d")
+    values = t.orders.groupBy(day, F.col("o_orderpriority").alias("p")).agg(F.avg(F.log("o_totalprice")).alias("v"))
+    return rounded(Q.station_dispersion(values, "d", "p", "v").drop("distance"), "dispersion")
+
+
+@query(
+    "station_dispersion",
+    """WITH s AS (SELECT o_orderdate::DATE AS d, c_custkey % 200 AS p, avg(ln(o_totalprice)) AS v
+  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
+ w AS (SELECT c_custkey % 200 AS p, avg(c_acctbal) / 100 AS x, avg(c_nationkey) AS y FROM customer GROUP BY 1)
+ SELECT a.p AS a, b.p AS b, count(*) AS n,
+  round(sqrt(pow(any_value(wa.x) - any_value(wb.x), 2) + pow(any_value(wa.y) - any_value(wb.y), 2)), 6) AS distance,
+  round(var_pop(a.v - b.v), 6) AS dispersion
+ FROM s a JOIN s b ON a.d = b.d AND a.p < b.p JOIN w wa ON wa.p = a.p JOIN w wb ON wb.p = b.p GROUP BY 1, 2""",
+)
+def station_dispersion(t: Tables) -> DataFrame:
+    """Customers in 200 stations: dispersion of their daily mean orders beside the distance of their mean places."""
+    p = (F.col("c_custkey") % 200).alias("p")
+    places = t.customer.groupBy(p).agg((F.avg("c_acctbal") / 100).alias("x"), F.avg("c_nationkey").alias("y"))
+    day = F.to_date("o_orderdate").alias("d")
+    orders = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    values = orders.groupBy(day, p).agg(F.avg(F.log("o_totalprice")).alias("v"))
+    return rounded(Q.station_dispersion(values, "d", "p", "v", places), "distance", "dispersion")
 
 
 def economy_features(t: Tables) -> DataFrame:

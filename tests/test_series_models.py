@@ -52,6 +52,32 @@ def test_pair_dispersion_uses_common_dates(spark):
     assert got["a", "c"] == (2, pytest.approx(np.var([1, -3])))
 
 
+def test_station_dispersion_over_blocks_and_gaps(spark):
+    """Five stations in blocks of two, gaps, a high common level, a station without a place, one without common dates."""
+    rng = np.random.default_rng(3)
+    x = 1e6 + rng.normal(size=(30, 5))
+    x[rng.random(x.shape) < 0.3] = np.nan
+    x[:15, 3], x[15:, 4] = np.nan, np.nan
+    rows = [(d, f"s{k}", float(v)) for d, day in zip(days(30), x) for k, v in enumerate(day) if v == v]
+    values = spark.createDataFrame([*rows, (days(1)[0], None, 1.0), (None, "s0", 1.0), (days(1)[0], "s9", None)], "d date, p string, v double")
+    places = spark.createDataFrame([("s0", 0.0, 0.0), ("s1", 3.0, 4.0), ("s2", 3.0, 0.0), ("zz", 1.0, 1.0)], "p string, x double, y double")
+    got = {(r["a"], r["b"]): r for r in Q.station_dispersion(values, "d", "p", "v", places, block=2, parts=3).collect()}
+    want = {}
+    for i in range(5):
+        for j in range(i + 1, 5):
+            both = (x[:, i] - x[:, j])[~np.isnan(x[:, i] - x[:, j])]
+            if len(both):
+                want[f"s{i}", f"s{j}"] = (len(both), np.var(both))
+    assert ("s3", "s4") not in want
+    assert {k: r["n"] for k, r in got.items()} == {k: n for k, (n, _) in want.items()}
+    for k, (_, v) in want.items():
+        assert got[k]["dispersion"] == pytest.approx(v, rel=1e-8)
+    assert [got["s0", "s1"]["distance"], got["s1", "s2"]["distance"], got["s0", "s3"]["distance"]] == [5.0, 4.0, None]
+    plain = {(r["a"], r["b"]): r["distance"] for r in Q.station_dispersion(values, "d", "p", "v").collect()}
+    assert plain.keys() == want.keys() and not any(plain.values())
+    assert Q.station_dispersion(values.limit(0), "d", "p", "v").collect() == []
+
+
 def test_semi_join_null_rules(spark):
     train = spark.createDataFrame([(1, 0), (2, None), (3, 7), (4, 8)], "id long, k int")
     test = spark.createDataFrame([(None,), (7,)], "k int")

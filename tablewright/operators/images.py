@@ -171,6 +171,25 @@ def profile_vector(arr: Column, h: int, w: int, radii: Sequence[int] = RADII) ->
     return F.concat(A.let(parts, build), peaks)
 
 
+# Shares of red, green and blue in grey.
+GREY = (0.299, 0.587, 0.114)
+
+
+def grey_page(arr: Column, h: int, w: int, shares: Sequence[float] = GREY) -> Column:
+    """One number per cell of a page whose channels are the fastest axis."""
+    n = len(shares)
+    cell = lambda k: sum((F.get(arr, k * n + c) * s for c, s in enumerate(shares[1:], 1)), F.get(arr, k * n) * shares[0])
+    return F.transform(F.sequence(F.lit(0), F.lit(h * w - 1)), cell)
+
+
+def image_features(arr: Column, h: int, w: int, radii: Sequence[int] = RADII) -> Column:
+    """Numbers that describe a page of three channels: its colour offsets, then the profile of its grey page.
+
+    With the seven radii these are 86. A null page, or one with a null cell, gives nulls where that cell counts.
+    """
+    return F.concat(channel_offsets(arr, len(GREY)), A.let(grey_page(arr, h, w), lambda g: profile_vector(g, h, w, radii)))
+
+
 # ---- training variants
 
 

@@ -236,30 +236,62 @@ def channel_offsets(t: Tables) -> DataFrame:
 RINGS = I.RADII
 
 
-def _sql_profile() -> str:
+def _sql_profile(cells: str = SQL_CELLS, start: int = 0) -> str:
+    """Numbered from ``start``, with CTEs ``cells`` (vec_id, i, x) first."""
     reg = I.profile_regions(8, 8)
     names = [n for n in reg if n not in ("inner", "outer")]
     sets = list(reg.items()) + [(f"ring{k}", I.ring_index(8, 8, r)) for k, r in enumerate(RINGS)]
     values = ", ".join(f"('{n}', {i})" for n, idx in sets for i in idx)
     place = ", ".join(f"('{n}', {k})" for k, n in enumerate(names))
-    return f"""WITH {SQL_CELLS}, reg(g, i) AS (VALUES {values}), place(g, k) AS (VALUES {place}),
+    circle = ", ".join(f"({k}, {p}, {i})" for k, r in enumerate(RINGS) for p, i in enumerate(I.ring_index(8, 8, r)))
+    return f"""WITH RECURSIVE {cells}, reg(g, i) AS (VALUES {values}), place(g, k) AS (VALUES {place}),
  c AS (SELECT vec_id, g, x - avg(x) OVER (PARTITION BY vec_id, g) AS z, avg(x) OVER (PARTITION BY vec_id, g) AS mu FROM cells JOIN reg USING (i)),
  m AS (SELECT vec_id, g, any_value(mu) AS m0, sqrt(avg(z*z)) AS m1, avg(z*z*z) / pow(avg(z*z), 1.5::DOUBLE) AS m2,
   avg(z*z*z*z) / pow(avg(z*z), 2) - 3 AS m3 FROM c GROUP BY 1, 2),
  l AS (SELECT vec_id, g, unnest(range(0, 4)) AS f, unnest([m0, m1, m2, m3]) AS val FROM m),
- a AS (SELECT vec_id, avg(x) AS mean FROM cells GROUP BY 1)
- SELECT vec_id, f::INT * 11 AS i, round(mean, 5) AS x FROM a, range(0, 4) r(f)
- UNION ALL SELECT vec_id, (f * 11 + 1 + k)::INT, round(val, 5) FROM l JOIN place USING (g)
- UNION ALL SELECT n.vec_id, (44 + n.f)::INT, round(CASE WHEN o.val = 0 THEN 10 WHEN n.val / o.val > 10 THEN 10 WHEN n.val / o.val < 0 THEN 0 ELSE coalesce(n.val / o.val, 10) END, 5)
+ a AS (SELECT vec_id, avg(x) AS mean FROM cells GROUP BY 1),
+ circle(k, p, i) AS (VALUES {circle}),
+ sm AS (SELECT vec_id, k, p, (coalesce(lag(x) OVER w, last_value(x) OVER f) + x + coalesce(lead(x) OVER w, first_value(x) OVER f)) / 3 AS x
+  FROM cells JOIN circle USING (i) WINDOW w AS (PARTITION BY vec_id, k ORDER BY p),
+  f AS (PARTITION BY vec_id, k ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+ z AS (SELECT vec_id, k, p, (x - avg(x) OVER v) / stddev_pop(x) OVER v AS x FROM sm WINDOW v AS (PARTITION BY vec_id, k)),
+ st AS (SELECT DISTINCT vec_id, k, -1 AS p, true AS tr, false AS pk, 2 AS last, 0 AS nt, 0 AS np FROM z
+  UNION ALL SELECT vec_id, k, p, x < -1.5, x > 1.5, CASE WHEN up AND pk AND x <= 1.5 THEN 2 WHEN up THEN 1 WHEN pk AND x <= 1.5 AND last = 1 THEN 2 ELSE last END,
+   nt + up::INT, np + (pk AND x <= 1.5 AND (up OR last = 1))::INT
+   FROM (SELECT st.vec_id, z.k, z.p, z.x, st.tr, st.pk, st.last, st.nt, st.np, (st.tr AND z.x >= -1.5 AND st.last = 2) AS up
+    FROM st JOIN z ON st.vec_id = z.vec_id AND st.k = z.k AND z.p = st.p + 1) q)
+ SELECT vec_id, ({start} + f * 11)::INT AS i, round(mean, 5) AS x FROM a, range(0, 4) r(f)
+ UNION ALL SELECT vec_id, ({start} + f * 11 + 1 + k)::INT, round(val, 5) FROM l JOIN place USING (g)
+ UNION ALL SELECT n.vec_id, ({start} + 44 + n.f)::INT, round(CASE WHEN o.val = 0 THEN 10 WHEN n.val / o.val > 10 THEN 10 WHEN n.val / o.val < 0 THEN 0 ELSE coalesce(n.val / o.val, 10) END, 5)
   FROM l n JOIN l o ON n.vec_id = o.vec_id AND n.f = o.f WHERE n.g = 'inner' AND o.g = 'outer'
- UNION ALL SELECT vec_id, (48 + 4 * substr(g, 5)::INT + f)::INT, round(val, 5) FROM l WHERE g LIKE 'ring%'"""
+ UNION ALL SELECT vec_id, ({start} + 48 + 4 * substr(g, 5)::INT + f)::INT, round(val, 5) FROM l WHERE g LIKE 'ring%'
+ UNION ALL SELECT vec_id, ({start} + 48 + 4 * {len(RINGS)} + k)::INT, least(max(nt), max(np))::DOUBLE FROM st GROUP BY vec_id, k"""
 
 
 @query("profile_features", _sql_profile())
 def profile_features(t: Tables) -> DataFrame:
-    """Section, square and ring numbers; the peak counts have a query of their own."""
-    cells = long_cells(vectors(t), I.profile_vector(F.col("v"), 8, 8, RINGS), "vec_id", digits=5)
-    return cells.where(F.col("i") < 48 + 4 * len(RINGS))
+    """Section, square and ring numbers and the peak counts."""
+    return long_cells(vectors(t), I.profile_vector(F.col("v"), 8, 8, RINGS), "vec_id", digits=5)
+
+
+SQL_PAGES = """page AS (SELECT vec_id, (k // 3)::INT AS i, (k % 3)::INT AS c, embedding[((k // 3) + 21 * (k % 3)) % 64 + 1]::DOUBLE AS x
+  FROM embeddings, range(0, 192) r(k)),
+ cells AS (SELECT vec_id, i, sum(CASE c WHEN 0 THEN 0.299::DOUBLE WHEN 1 THEN 0.587::DOUBLE ELSE 0.114::DOUBLE END * x) AS x FROM page GROUP BY 1, 2)"""
+
+
+@query(
+    "image_features",
+    _sql_profile(SQL_PAGES, 3)
+    + """
+ UNION ALL SELECT vec_id, c, round(avg(x) - any_value(mean), 5) FROM page JOIN (SELECT vec_id, avg(x) AS mean FROM page GROUP BY 1) USING (vec_id) GROUP BY 1, 2""",
+)
+def image_features(t: Tables) -> DataFrame:
+    """All 86 numbers of pages of 8 x 8 cells in three channels, each a vector turned by another third."""
+    at = F.sequence(F.lit(0), F.lit(191))
+    page = F.transform(at, lambda k: F.get("v", ((F.floor(k / 3) + k % 3 * 21) % 64).cast("int")))
+    return long_cells(vectors(t).select("vec_id", page.alias("v")), I.image_features(F.col("v"), 8, 8, RINGS), "vec_id", digits=5)
+
+
 
 
 @query(

@@ -85,6 +85,17 @@ def test_leaf_probabilities_without_votes_are_zero(spark):
     assert sum(one(spark, [0] * 37, I.leaf_probabilities)) == 0
 
 
+def test_image_features_are_colour_offsets_and_the_grey_profile(spark):
+    rng = np.random.default_rng(8)
+    page = rng.uniform(0, 255, (16, 16, 3))
+    out = one(spark, page.reshape(-1), lambda v: I.image_features(v, 16, 16))
+    assert len(out) == 86
+    assert out[:3] == pytest.approx(page.mean(axis=(0, 1)) - page.mean())
+    grey = page @ np.array([0.299, 0.587, 0.114])
+    assert out[3:] == pytest.approx(one(spark, grey.reshape(-1), lambda v: I.profile_vector(v, 16, 16)))
+    assert out[3] == pytest.approx(grey.mean())
+
+
 def test_profile_vector_has_86_numbers_less_colours(spark):
     rng = np.random.RandomState(2)
     out = one(spark, rng.uniform(0, 255, 128 * 128), lambda v: I.profile_vector(v, 128, 128))

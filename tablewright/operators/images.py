@@ -22,21 +22,25 @@ def _window(arr: Column, width: int, top: Column, left: Column, ph: int, pw: int
 
 
 def grid_patches(
-    df: DataFrame, arr: str, shape: tuple[int, int], patch: tuple[int, int], stride: tuple[int, int]
+    df: DataFrame, arr: str, shape: tuple[int, int], patch: tuple[int, int], stride: tuple[int, int], channels: int = 1
 ) -> DataFrame:
-    """One row per regular patch, last axis fastest; the other columns repeat."""
+    """One row per regular patch, last axis fastest; the other columns repeat.
+
+    Pages and patches have ``channels`` numbers a cell, channel fastest.
+    """
     tops = range(0, shape[0] - patch[0] + 1, stride[0])
     lefts = range(0, shape[1] - patch[1] + 1, stride[1])
     spots = F.array(*[F.struct(F.lit(r).alias("r"), F.lit(c).alias("c")) for r in tops for c in lefts])
     out = df.select("*", F.posexplode(spots).alias("patch_no", "_s"))
-    return out.withColumn("patch", _window(F.col(arr), shape[1], F.col("_s.r"), F.col("_s.c"), *patch)).drop("_s")
+    cut = _window(F.col(arr), shape[1] * channels, F.col("_s.r"), F.col("_s.c") * channels, patch[0], patch[1] * channels)
+    return out.withColumn("patch", cut).drop("_s")
 
 
 def random_patches(
     df: DataFrame, key: str, arr: str, shape: tuple[int, int], patch: tuple[int, int], n: int, min_std: float,
-    seed: int = 1,
+    seed: int = 1, channels: int = 1,
 ) -> DataFrame:
-    """n patches whose std is over the threshold, from every page that has any.
+    """n patches whose std over all channels is over the threshold, from every page that has any.
 
     All positions of the page are put in a drawn order; the first n that pass
     are taken, over again from the first if there are fewer.
@@ -51,7 +55,8 @@ def random_patches(
             places,
             lambda s: F.struct(
                 draw("patch", seed, F.col(key), s["top"], s["left"]).alias("u"), s["top"].alias("top"),
-                s["left"].alias("left"), _window(a, shape[1], s["top"], s["left"], *patch).alias("patch"),
+                s["left"].alias("left"),
+                _window(a, shape[1] * channels, s["top"], s["left"] * channels, patch[0], patch[1] * channels).alias("patch"),
             ),
         )
     )

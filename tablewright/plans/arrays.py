@@ -187,6 +187,18 @@ def grid_patches(t: Tables) -> DataFrame:
     return long_cells(p, F.col("patch"), "vec_id", "label", "patch_no")
 
 
+@query(
+    "channel_patches",
+    f"""WITH {SQL_CELLS}, k AS (SELECT (r * 3 + c)::INT AS patch_no, (pr * 2 + pc) * 4 + ch AS j, ((r + pr) * 4 + c + pc) * 4 + ch AS i
+ FROM range(0, 3) a(r), range(0, 3) b(c), range(0, 2) d(pr), range(0, 2) e(pc), range(0, 4) f(ch))
+ SELECT vec_id, patch_no, j::INT AS i, round(x, 6) AS x FROM cells JOIN k USING (i)""",
+)
+def channel_patches(t: Tables) -> DataFrame:
+    """Vectors as pages of 4 x 4 cells in four channels."""
+    p = I.grid_patches(vectors(t), "v", (4, 4), (2, 2), (1, 1), channels=4)
+    return long_cells(p, F.col("patch"), "vec_id", "patch_no")
+
+
 @query(
     "random_patches",
     f"""WITH {SQL_CELLS}, d AS (SELECT vec_id, top::INT AS top, lft::INT AS lft, {sql_draw('patch', '1', 'vec_id', 'top', 'lft')} AS u

@@ -350,24 +350,28 @@ def group_models(t: Tables) -> DataFrame:
 
 @query("econ_price_model")
 def econ_price_model(t: Tables) -> DataFrame:
-    """Log price forest, daily residual factor from outside series, factor joined back, price per day."""
+    """Log price forest, daily residual factor from outside series, factor joined back, price per day.
+
+    Every fifth day by draw is held out of both fits, so errors can be taken of days the models have not seen.
+    """
     status = F.when(F.col("o_orderstatus") == "F", 0.0).when(F.col("o_orderstatus") == "O", 1.0).otherwise(2.0)
     rows = t.orders.select(
         "o_orderkey", F.to_date("o_orderdate").alias("d"), F.log("o_totalprice").alias("y"),
         F.month("o_orderdate").cast("double").alias("month"), F.year("o_orderdate").cast("double").alias("year"),
         F.substring("o_orderpriority", 1, 1).cast("double").alias("priority"), status.alias("status"),
-    )
+    ).withColumn("held", draw("held out", 1, F.unix_date("d")) < 0.2)
+    seen = ~F.col("held")
     data = M.assemble(rows, ["month", "year", "priority", "status"]).persist()
-    fitted = M.forest_regressor(10, 5, 25, "log2", "y").fit(data).transform(data)
-    residual = fitted.groupBy("d").agg((F.avg("y") / F.avg("prediction")).alias("factor"))
+    fitted = M.forest_regressor(10, 5, 25, "log2", "y").fit(data.where(seen)).transform(data)
+    residual = fitted.groupBy("d", "held").agg((F.avg("y") / F.avg("prediction")).alias("factor"))
     lagged = [c for c in ECON_COLS if c != "t"]
     outside = economy_features(t).join(residual, "d")
-    scaled = apply_scale(outside, fit_standardise(outside, lagged)).na.fill(0.0, lagged)
-    lifted = P.fit_rff(len(lagged), 64, gamma=0.05).apply(scaled.select("d", "factor", F.array(*lagged).alias("v")), "v")
-    lifted = lifted.select("d", "factor", array_to_vector("v").alias("features")).persist()
-    factors = M.rbf_regression(lifted, "factor", "features").transform(lifted).select("d", F.col("prediction").alias("econ"))
-    priced_rows = left_join_default(fitted.select("d", "y", "prediction"), factors, "d", "econ", 1.0)
-    return priced_rows.groupBy("d").agg(
+    scaled = apply_scale(outside, fit_standardise(outside.where(seen), lagged)).na.fill(0.0, lagged)
+    lifted = P.fit_rff(len(lagged), 64, gamma=0.05).apply(scaled.select("d", "held", "factor", F.array(*lagged).alias("v")), "v")
+    lifted = lifted.select("d", "held", "factor", array_to_vector("v").alias("features")).persist()
+    factors = M.rbf_regression(lifted.where(seen), "factor", "features").transform(lifted).select("d", F.col("prediction").alias("econ"))
+    priced_rows = left_join_default(fitted.select("d", "held", "y", "prediction"), factors, "d", "econ", 1.0)
+    return priced_rows.groupBy("d", "held").agg(
         F.count(F.lit(1)).alias("n"), F.avg(F.exp(F.col("prediction") * F.col("econ"))).alias("predicted"),
         F.avg(F.exp("y")).alias("actual"),
     )

@@ -85,6 +85,17 @@ def test_leaf_probabilities_without_votes_are_zero(spark):
     assert sum(one(spark, [0] * 37, I.leaf_probabilities)) == 0
 
 
+def test_patches_of_pages_with_channels(spark):
+    page = np.arange(5 * 4 * 3, dtype=float).reshape(5, 4, 3)
+    df = spark.createDataFrame([(1, page.reshape(-1).tolist())], "id int, v array<double>")
+    got = {r["patch_no"]: r["patch"] for r in I.grid_patches(df, "v", (5, 4), (3, 2), (2, 1), channels=3).collect()}
+    want = [page[r : r + 3, c : c + 2].reshape(-1).tolist() for r in (0, 2) for c in (0, 1, 2)]
+    assert got == dict(enumerate(want))
+    drawn = I.random_patches(df, "id", "v", (5, 4), (3, 2), n=3, min_std=0.1, channels=3).collect()
+    assert len(drawn) == 3
+    assert all(r["patch"] == page[r["top"] : r["top"] + 3, r["left"] : r["left"] + 2].reshape(-1).tolist() for r in drawn)
+
+
 def test_image_features_are_colour_offsets_and_the_grey_profile(spark):
     rng = np.random.default_rng(8)
     page = rng.uniform(0, 255, (16, 16, 3))

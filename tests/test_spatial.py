@@ -80,6 +80,25 @@ def test_boxes_of_all_sizes_with_broken_corners(spark):
     assert {r["id"]: r["overlaps"] for r in spatial.overlapping_boxes(df).collect()} == dict(enumerate(meets.any(1)))
 
 
+def test_cells_of_boxes_are_not_broadcast(spark):
+    """Spark's estimate knows the boxes only, not the many cells they cover."""
+    rows = [(i, 9 * i, 0, 0, 9 * i + 4, 3, 3) for i in range(50)] + [(50, 0, 0, 0, 4, 3, 3), (51, 0, 0, 0, None, 3, 3)]
+    df = spark.createDataFrame(rows, "id long, x1 long, y1 long, z1 long, x2 long, y2 long, z2 long")
+    out = spatial.overlapping_boxes(df)
+    assert {r["id"] for r in out.where("overlaps").collect()} == {0, 50}
+    assert out.count() == 52
+    for plan in (out, spatial.any_overlap(df)):
+        assert "Broadcast" not in plan._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_copies_of_boxes_are_compared_once(spark):
+    """4,000 equal boxes that touch nothing else but one, beside single ones in the same cell."""
+    rows = [(i, 0, 0, 0, 1, 1, 1) for i in range(4000)] + [(4000, 1, 1, 1, 1, 1, 1), (4001, 2, 2, 2, 2, 2, 2)]
+    df = spark.createDataFrame(rows, "id long, x1 long, y1 long, z1 long, x2 long, y2 long, z2 long")
+    got = {r["id"]: r["overlaps"] for r in spatial.overlapping_boxes(df).collect()}
+    assert got == {i: i < 4001 for i in range(4002)}
+
+
 def test_order_score_by_hand(spark):
     rows = [(1, 1, 1, 1, 1, 1, 5), (2, 1, 1, 1, 1, 1, 9), (3, 1, 1, 1, 1, 1, 5)]
     df = spark.createDataFrame(rows, "id long, x1 long, y1 long, z1 long, x2 long, y2 long, z2 long")

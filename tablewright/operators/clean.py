@@ -28,9 +28,19 @@ def row_slice(df: DataFrame, row_id: str, start: int, stop: int, closed: bool =
     return df.where((F.col(row_id) >= start) & upper)
 
 
+def deviation(x: str | Column, ddof: int = 1) -> Column:
+    """Standard deviation, exactly 0 if all values are equal.
+
+    Partial means of equal values may differ in their last digit, and the
+    merged deviation is then a little above 0.
+    """
+    std = F.stddev_samp(x) if ddof else F.stddev_pop(x)
+    return F.when(F.min(x) < F.max(x), std).otherwise(std * 0.0)
+
+
 def drop_constant_columns(train: DataFrame, cols: Sequence[str]) -> list[str]:
     """Names of the columns that vary on the training rows."""
-    row = train.agg(*[F.stddev_samp(c).alias(c) for c in cols]).first()
+    row = train.agg(*[deviation(c).alias(c) for c in cols]).first()
     return [c for c in cols if row[c] is not None and row[c] > 0]
 
 
@@ -82,9 +92,8 @@ class Scale:
 
 
 def fit_standardise(train: DataFrame, cols: Sequence[str], ddof: int = 1) -> Scale:
-    std = F.stddev_samp if ddof else F.stddev_pop
     row = train.agg(
-        *[F.avg(c).alias(f"m_{c}") for c in cols], *[std(c).alias(f"s_{c}") for c in cols]
+        *[F.avg(c).alias(f"m_{c}") for c in cols], *[deviation(c, ddof).alias(f"s_{c}") for c in cols]
     ).first()
     return Scale({c: row[f"m_{c}"] for c in cols}, {c: row[f"s_{c}"] for c in cols})
 
@@ -116,8 +125,7 @@ class CellScale:
 def fit_cells(train: DataFrame, vec: str, how: str = "std", ddof: int = 0) -> CellScale:
     """Mean and std, or minimum and range, of every vector position; one row per position is read."""
     cells = train.select(F.posexplode(vec).alias("i", "x"))
-    std = F.stddev_samp("x") if ddof else F.stddev_pop("x")
-    stats = (F.avg("x"), std) if how == "std" else (F.min("x"), F.max("x") - F.min("x"))
+    stats = (F.avg("x"), deviation("x", ddof)) if how == "std" else (F.min("x"), F.max("x") - F.min("x"))
     rows = cells.groupBy("i").agg(stats[0].alias("c"), stats[1].alias("s")).orderBy("i").collect()
     return CellScale(tuple(r["c"] for r in rows), tuple(r["s"] for r in rows))
 
@@ -158,7 +166,7 @@ def _rest_stats(df: DataFrame, cols: Sequence[str], med: Mapping[str, float]) ->
     rest = {c: F.when(F.col(c) != F.lit(med[c]), F.col(c)) for c in cols}
     row = df.agg(
         *[F.avg(e).alias(f"m_{c}") for c, e in rest.items()],
-        *[F.stddev_pop(e).alias(f"s_{c}") for c, e in rest.items()],
+        *[deviation(e, 0).alias(f"s_{c}") for c, e in rest.items()],
     ).first()
     return {c: row[f"m_{c}"] for c in cols}, {c: row[f"s_{c}"] for c in cols}
 

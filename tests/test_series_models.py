@@ -7,7 +7,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from tablewright.operators import cluster, encode, folds, joins, metrics, project
+from tablewright.operators import clean, cluster, encode, folds, joins, metrics, project
 from tablewright.operators import models as M
 from tablewright.operators import series as Q
 from tablewright.operators.folds import stratified
@@ -78,6 +78,17 @@ def test_station_dispersion_over_blocks_and_gaps(spark):
     assert Q.station_dispersion(values.limit(0), "d", "p", "v").collect() == []
 
 
+def test_equal_values_in_several_tasks_are_constant(spark):
+    """The mean of 49 ones is a little below 1 once it is merged."""
+    df = spark.range(0, 147, 1, 3).select(F.lit(1.0).alias("x"), F.col("id").cast("double").alias("y"), F.array(F.lit(1.0)).alias("v"))
+    assert clean.drop_constant_columns(df, ["x", "y"]) == ["y"]
+    for ddof in (0, 1):
+        assert clean.fit_standardise(df, ["x"], ddof).spread == {"x": 0.0}
+        assert clean.fit_cells(df, "v", ddof=ddof).spread == (0.0,)
+    assert clean.drop_constant_columns(df.limit(1), ["x", "y"]) == []
+    assert clean.drop_constant_columns(df.select(F.lit(None).cast("double").alias("x")), ["x"]) == []
+
+
 def test_semi_join_null_rules(spark):
     train = spark.createDataFrame([(1, 0), (2, None), (3, 7), (4, 8)], "id long, k int")
     test = spark.createDataFrame([(None,), (7,)], "k int")

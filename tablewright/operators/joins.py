@@ -6,7 +6,7 @@ broadcasts only below its threshold, and splits hot partitions otherwise.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,17 +24,21 @@ def left_join_default(df: DataFrame, factor: DataFrame, key: str, col: str, defa
     return left_join(df, factor, key, [col]).withColumn(col, F.coalesce(F.col(col), F.lit(default)))
 
 
-def semi_join_on_values(train: DataFrame, test: DataFrame, cols: Sequence[str]) -> DataFrame:
+def semi_join_on_values(
+    train: DataFrame, test: DataFrame | Mapping[str, DataFrame], cols: Sequence[str]
+) -> DataFrame:
     """Training rows that share a value with the test rows in any of the columns.
 
     Nulls in the test column count as 0; a null training key never matches.
+    A mapping gives each column test rows of its own.
     Rows are read once and marked per column by a join with its distinct
     values, so every row comes out once.
     """
     rows = train.select(F.struct("*").alias("_row"), *[F.col(c).alias(f"_c{i}") for i, c in enumerate(cols)])
     hit = F.lit(False)
     for i, c in enumerate(cols):
-        values = test.select(F.coalesce(F.col(c), F.lit(0)).alias(f"_c{i}")).distinct().withColumn(f"_hit{i}", F.lit(True))
+        found = test[c] if isinstance(test, Mapping) else test
+        values = found.select(F.coalesce(F.col(c), F.lit(0)).alias(f"_c{i}")).distinct().withColumn(f"_hit{i}", F.lit(True))
         rows = rows.join(values, f"_c{i}", "left")
         hit = hit | F.coalesce(f"_hit{i}", F.lit(False))
     return rows.where(hit).select("_row.*")

@@ -11,6 +11,7 @@ from tablewright.operators import clean, cluster, encode, folds, joins, metrics,
 from tablewright.operators import models as M
 from tablewright.operators import series as Q
 from tablewright.operators.folds import stratified
+from tablewright.plans import QUERIES
 from tablewright.sources import delimited, files
 
 
@@ -95,6 +96,25 @@ def test_semi_join_null_rules(spark):
     assert {r["id"] for r in joins.semi_join_on_values(train, test, ["k"]).collect()} == {1, 3}
 
 
+def test_semi_join_with_test_rows_per_column(spark):
+    """Rows that are there for one column leave no missing cells in the other."""
+    train = spark.createDataFrame([(1, 5, 7), (2, 6, 0), (3, 0, 8), (4, 6, 9)], "id long, a int, b int")
+    tests = {"a": spark.createDataFrame([(5,)], "a int"), "b": spark.createDataFrame([(9,)], "b int")}
+    assert {r["id"] for r in joins.semi_join_on_values(train, tests, ["a", "b"]).collect()} == {1, 4}
+
+
+def test_semi_join_query_takes_no_missing_cell_for_key_0(spark, tmp_path):
+    """Keys 0 without the segment or an open order; a customer of no nation, of nation 0, and an order without key."""
+    customer = [(0, 3, "OTHER", 1.0), (1, 3, "BUILDING", 1.0), (2, None, "BUILDING", 1.0), (3, 3, "OTHER", 1.0)]
+    orders = [(0, 3, "F"), (10, 0, "O"), (11, 1, "F"), (12, 2, "F"), (13, 3, "P"), (14, 3, "F"), (None, 3, "P")]
+    for extra, want in (([], {11, 12, 13}), ([(4, 0, "BUILDING", 1.0)], {10, 11, 12, 13})):
+        folder = str(tmp_path / f"t{len(extra)}")
+        c = "c_custkey long, c_nationkey int, c_mktsegment string, c_acctbal double"
+        spark.createDataFrame(customer + extra, c).write.parquet(f"{folder}/customer.parquet")
+        spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string").write.parquet(f"{folder}/orders.parquet")
+        assert {r["o_orderkey"] for r in QUERIES["semi_join"](spark, folder).collect()} == want
+
+
 def test_semi_join_on_several_columns_gives_each_row_once(spark):
     train = spark.createDataFrame([(1, 5, 9), (2, 5, 0), (3, 1, 9), (4, None, 9), (5, 1, 1)], "id long, a int, b int")
     test = spark.createDataFrame([(5, 9)], "a int, b int")

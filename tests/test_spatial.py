@@ -3,6 +3,7 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -49,6 +50,18 @@ def test_variogram_equals_all_pairs(spark, step, same, frac, block):
         assert got[k][1] == pytest.approx(want[k][1])
 
 
+@pytest.mark.parametrize("step", [None, 30])
+def test_copies_of_a_block_may_be_in_different_order(step):
+    """Each side of the join collects its own copy, in the order the shuffle brings the points."""
+    pts = cloud(8, 60)
+    width = math.hypot(max(p[1] for p in pts) - min(p[1] for p in pts), max(p[2] for p in pts) - min(p[2] for p in pts)) * 0.5 / 8
+    left = [{"x": p[1], "y": p[2], "z": p[3]} for p in pts]
+    blocks = pd.DataFrame({"left": [left], "right": [left[::-1]], "same": [True]})
+    run = spatial._pair_histogram(np.linspace(0.0, 8 * width, 9)[:-1], math.radians(step) if step else None, 180 // step if step else 1)
+    got = {(r.dbin, r.tbin): r.n for part in run(iter([blocks])) for r in part.itertuples()}
+    assert got == {k: n for k, (n, _) in brute(pts, 8, 0.5, step).items()}
+
+
 def test_pair_totals_equal_all_pairs(spark):
     rng = random.Random(6)
     rows = [("hot" if rng.random() < 0.4 else rng.choice("abc"), rng.gauss(1e6, 3)) for _ in range(200)]

@@ -138,3 +138,17 @@ def test_pool_skips_flat_columns_and_refits(spark):
     assert total == pytest.approx(0.0, abs=1e-9)
     again = clean.apply_pool(df, pool, refit_stats=True).agg(F.sum("sft")).first()[0]
     assert again == pytest.approx(0.0, abs=1e-9)
+
+
+def test_codes_of_few_values_leave_the_rows_where_they_are(spark):
+    """A plain join would bring all rows of a value into one task."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(0, 1000, 1, 4).select("id", F.when(F.col("id") % 3 > 0, F.concat(F.lit("v"), F.col("id") % 3)).alias("k"))
+        for out in (ranking.apply_codes(df, ranking.fit_codes(df, "k"), "k"), ranking.rank_fraction(df, "k")):
+            assert "SortMergeJoin" not in out._jdf.queryExecution().sparkPlan().toString()
+        codes = {(r["k"], r["code"]) for r in ranking.apply_codes(df, ranking.fit_codes(df, "k"), "k").collect()}
+        assert codes == {(None, -1), ("v1", 1), ("v2", 2)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

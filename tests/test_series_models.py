@@ -12,6 +12,8 @@ from tablewright.operators import models as M
 from tablewright.operators import series as Q
 from tablewright.operators.folds import stratified
 from tablewright.plans import QUERIES
+from tablewright.plans.models import priced
+from tablewright.plans.registry import Tables
 from tablewright.sources import delimited, files
 
 
@@ -297,3 +299,26 @@ def test_covariance_of_wide_vectors(spark):
     df = spark.createDataFrame([(v.tolist(),) for v in x], "v array<double>").repartition(5)
     n, mean, cov = project.mean_and_covariance(df, "v")
     assert n == 12 and np.allclose(mean, x.mean(0)) and np.allclose(cov, np.cov(x.T, bias=True))
+
+
+def test_tasks_of_a_forest_hold_a_bounded_number_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(M, "TASK_ROWS", 100)
+    data = priced(Tables(spark, "/root/testdata/sf0.001"))
+    sizes = [r["count"] for r in data.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 6000 and max(sizes) < 200
+    assert {"features", "y", "held", "l_returnflag", "l_linestatus"} <= set(data.columns)
+    assert "l_orderkey" not in data.columns
+
+
+def test_rounds_over_equal_rows_are_those_over_all(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice("abc"), rng.choice("xy"), rng.choice([0.0, 1.0, 2.5])) for _ in range(400)]
+    df = spark.createDataFrame(rows, "a string, b string, v double")
+    kinds = cluster.equal_rows(df, ["a", "b", "v"])
+    assert kinds.count() <= 18 and kinds.agg(F.sum("weight")).first()[0] == 400
+    start = cluster.start_prototypes(df, ["a", "b"], ["v"], 3, 0.7)
+    same = cluster.start_prototypes(kinds, ["a", "b"], ["v"], 3, 0.7, "weight")
+    assert start.cat == same.cat and [m["v"] for m in same.num] == pytest.approx([m["v"] for m in start.num])
+    (want, costs), (got, weighed) = cluster.fit(df, start, 5), cluster.fit(kinds, start, 5, "weight")
+    assert got.cat == want.cat and weighed == pytest.approx(costs)
+    assert [m["v"] for m in got.num] == pytest.approx([m["v"] for m in want.num])

@@ -54,6 +54,16 @@ def forest_classifier(trees: int, depth: int, min_leaf: int, label: str = "label
     )
 
 
+#: Rows of a task of a forest, which holds all of its share as bins at once.
+TASK_ROWS = 500_000
+
+
+def dealt(df: DataFrame, rows: int, keys: Sequence[str]) -> DataFrame:
+    """Rows dealt by their keys into parts of about ``TASK_ROWS`` rows, as many as there are cores at least."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(cores, -(-rows // TASK_ROWS)), *keys)
+
+
 def forest_regressor(trees: int, depth: int, min_leaf: int, subset: str, label: str, seed: int = 1) -> RandomForestRegressor:
     return RandomForestRegressor(
         labelCol=label, numTrees=trees, maxDepth=depth, minInstancesPerNode=min_leaf,

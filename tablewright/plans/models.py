@@ -209,9 +209,11 @@ def priced(t: Tables) -> DataFrame:
     part = t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_size").cast("double").alias("p_size"), "p_retailprice")
     held = draw("held out", 1, F.col("l_orderkey"), F.col("l_linenumber")) < 0.2
     rows = t.lineitem.join(part, "l_partkey").select(
-        "l_returnflag", "l_linestatus", *LI_FEATURES, F.log("l_extendedprice").alias("y"), held.alias("held")
+        "l_returnflag", "l_linestatus", *LI_FEATURES, F.log("l_extendedprice").alias("y"), held.alias("held"),
+        "l_orderkey", "l_linenumber",
     )
-    return M.assemble(rows, LI_FEATURES)
+    dealt = M.dealt(rows, t.lineitem.count(), ["l_orderkey", "l_linenumber"]).drop("l_orderkey", "l_linenumber")
+    return M.assemble(dealt, LI_FEATURES)
 
 
 @query("rf_regressor")
@@ -241,8 +243,10 @@ def rf_multi_regressor(t: Tables) -> DataFrame:
 
 @query("feature_importance")
 def feature_importance(t: Tables) -> DataFrame:
-    data = priced(t)
-    return M.importances(M.forest_regressor(10, 5, 25, "sqrt", "y").fit(data), LI_FEATURES, data)
+    data = priced(t).select("features", "y").persist()
+    model = M.forest_regressor(10, 5, 25, "sqrt", "y").fit(data)
+    data.unpersist()
+    return M.importances(model, LI_FEATURES, data)
 
 
 @query("rbf_regression")

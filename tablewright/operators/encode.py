@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tablewright.operators.clean import frequent_values
 from tablewright.operators.lookup import lookup
 from tablewright.operators.ranking import positioned
-from tablewright.session import durable
+from tablewright.session import written
 
 #: Runs of two or more letters, digits or underscores, in any script.
 TOKEN = r"[\p{L}\p{M}\p{N}_]{2,}"
@@ -83,11 +83,11 @@ def bag_of_words(docs: DataFrame, key: str, text: str, min_df: int, stop: Sequen
     """(key, term, n) for the terms kept by document frequency.
 
     The texts are cut into words once: both the vocabulary and the result read
-    the written counts.
+    the written counts. These are many times the vocabulary, so they are not sorted for the join.
     """
-    counts = durable(term_counts(docs, key, text, stop))
+    counts = written(term_counts(docs, key, text, stop))
     vocabulary = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") >= min_df)
-    return counts.join(vocabulary.select("term"), "term", "left_semi")
+    return counts.join(vocabulary.select("term").hint("shuffle_hash"), "term", "left_semi")
 
 
 def anova_f(df: DataFrame, vec: str, label: str) -> DataFrame:

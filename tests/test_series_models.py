@@ -322,3 +322,12 @@ def test_rounds_over_equal_rows_are_those_over_all(spark):
     (want, costs), (got, weighed) = cluster.fit(df, start, 5), cluster.fit(kinds, start, 5, "weight")
     assert got.cat == want.cat and weighed == pytest.approx(costs)
     assert [m["v"] for m in got.num] == pytest.approx([m["v"] for m in want.num])
+
+
+def test_word_counts_are_neither_sorted_nor_kept_as_rows(spark):
+    docs = spark.createDataFrame([(i, f"common word{i % 3} common") for i in range(9)] + [(9, None), (10, "rare")], "doc_id long, text string")
+    out = encode.bag_of_words(docs, "doc_id", "text", 3)
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" not in plan and "Scan parquet" in plan
+    got = sorted((r["doc_id"], r["term"], r["n"]) for r in out.collect())
+    assert got == sorted([(i, "common", 2) for i in range(9)] + [(i, f"word{i % 3}", 1) for i in range(9)])

@@ -331,3 +331,40 @@ def test_word_counts_are_neither_sorted_nor_kept_as_rows(spark):
     assert "SortMergeJoin" not in plan and "Scan parquet" in plan
     got = sorted((r["doc_id"], r["term"], r["n"]) for r in out.collect())
     assert got == sorted([(i, "common", 2) for i in range(9)] + [(i, f"word{i % 3}", 1) for i in range(9)])
+
+
+def mixed_rows(n, seed):
+    rng = random.Random(seed)
+    return [(rng.choice("abcdefgh"), rng.choice(["x", "y", "z", None]), rng.gauss(0, 1), rng.gauss(2, 3)) for _ in range(n)]
+
+
+def test_several_starts_are_fitted_as_each_alone(spark):
+    df = spark.createDataFrame(mixed_rows(300, 3), "a string, b string, u double, v double").repartition(3)
+    starts = cluster.huang_starts(df, ["a", "b"], ["u", "v"], [4, 4, 7], 0.7)
+    assert [s.k for s in starts] == [4, 4, 7] and starts[0] != starts[1]
+    for s in starts:
+        assert len({(m["a"], m["b"]) for m in s.cat}) == s.k
+    for start, (got, cost) in zip(starts, cluster.fit_many(df, starts, 3)):
+        want, costs = cluster.fit(df, start, 3)
+        assert got.cat == want.cat and cost == pytest.approx(min(costs))
+        for x, y in zip(got.num, want.num):
+            assert x == pytest.approx(y)
+
+
+def test_kprototypes_query_makes_5_10_and_50_clusters_and_settles(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    rng = random.Random(9)
+    rows = [(i, f"b{rng.randrange(9)}", f"t{rng.randrange(12)}", 900 + rng.random() * 200, rng.randrange(50)) for i in range(400)]
+    schema = "p_partkey long, p_brand string, p_type string, p_retailprice double, p_size int"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "part.parquet"))
+    out = entry.queries()["kprototypes"](spark, str(tmp_path)).toPandas()
+    assert list(out.columns) == ["p_partkey", "c5", "c10", "c50"] and len(out) == 400
+    assert out["c5"].nunique() == 5 and out["c10"].nunique() > 8 and out["c50"].nunique() > 35
+    # settled: every row is nearest to the means and modes of its own cluster, but for ties of modes
+    df = pd.DataFrame(rows, columns=["p_partkey", "b", "t", "p", "s"]).merge(out, on="p_partkey")
+    x = ((df[["p", "s"]] - df[["p", "s"]].mean()) / df[["p", "s"]].std()).to_numpy()
+    means = np.stack([x[df["c5"] == k].mean(0) for k in range(5)])
+    mode = [[df.loc[df["c5"] == k, c].value_counts().sort_index().idxmax() for c in "bt"] for k in range(5)]
+    far = ((x[:, None] - means) ** 2).sum(2) + 0.7 * np.stack([sum((df[c] != v).to_numpy() for c, v in zip("bt", m)) for m in mode], 1)
+    assert (far.argmin(1) == df["c5"]).mean() > 0.97
